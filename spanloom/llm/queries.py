@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from spanloom.llm.packing import CAPACITY, pack
 from spanloom.llm.representatives import represent
+from spanloom.llm.tokenizer import encode
 from spanloom.sources.tables import table
 
 
@@ -24,7 +26,24 @@ def p1_quality(spark: SparkSession, root: str) -> DataFrame:
     return represent(table(spark, root, "publications"))["quality"]
 
 
-QUERIES = {"p1_found": p1_found, "p1_records": p1_records, "p1_values": p1_values, "p1_quality": p1_quality}
+def p7_ids(spark: SparkSession, root: str) -> DataFrame:
+    return encode(table(spark, root, "documents"), "doc_id", "text")
+
+
+def p8_assigned(spark: SparkSession, root: str) -> DataFrame:
+    docs = table(spark, root, "documents")
+    return pack(encode(docs, "doc_id", "text", counts_only=True), "doc_id", "n_tokens", docs.count())
+
+
+def p8_fill(spark: SparkSession, root: str) -> DataFrame:
+    """One row: containers, tokens, share of room used."""
+    per = p8_assigned(spark, root).groupBy("container").agg(F.sum("piece_tokens").alias("used"), F.count(F.lit(1)).alias("items"))
+    return per.agg(F.count(F.lit(1)).alias("containers"), F.sum("items").alias("items"), F.sum("used").alias("tokens"),
+                   F.max("used").alias("fullest"), F.round(F.avg("used") / CAPACITY, 6).alias("fill"))
+
+
+QUERIES = {"p1_found": p1_found, "p1_records": p1_records, "p1_values": p1_values, "p1_quality": p1_quality,
+           "p7_ids": p7_ids, "p8_assigned": p8_assigned, "p8_fill": p8_fill}
 
 _P1_SQL = """
     WITH RECURSIVE rows_ AS (
