@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from spanloom.llm.canonical import map_values, respelt, typed_values
+from spanloom.llm.lookalikes import CYRILLIC, CYRILLIC_AS, GREEK, GREEK_AS, OTHER, in_one_form, quoted_stretches
 from spanloom.llm.packing import CAPACITY, pack
 from spanloom.llm.representatives import represent
 from spanloom.llm.tokenizer import encode
@@ -26,6 +28,36 @@ def p1_quality(spark: SparkSession, root: str) -> DataFrame:
     return represent(table(spark, root, "publications"))["quality"]
 
 
+def p3_found(spark: SparkSession, root: str) -> DataFrame:
+    pairs = quoted_stretches(table(spark, root, "records"), table(spark, root, "parsed_documents"))
+    formed = in_one_form(pairs.where("source_quote <> stretch"), ["source_quote", "stretch"])
+    return formed.where("source_quote_form = stretch_form").select("record_id").distinct()
+
+
+def p3_quotes(spark: SparkSession, root: str) -> DataFrame:
+    """Every quotation and its stretch in one form."""
+    pairs = quoted_stretches(table(spark, root, "records"), table(spark, root, "parsed_documents"))
+    return in_one_form(pairs, ["source_quote", "stretch"]).select("record_id", "source_quote_form", "stretch_form").distinct()
+
+
+def p3_texts(spark: SparkSession, root: str) -> DataFrame:
+    """Every parsed text in one form."""
+    return in_one_form(table(spark, root, "parsed_documents").select("doc_id", "text"), ["text"]).select("doc_id", "text_form")
+
+
+VALUE_SETS = ["platform", "vendor", "repository", "format"]
+
+
+def p4_found(spark: SparkSession, root: str) -> DataFrame:
+    return respelt(typed_values(table(spark, root, "records"), VALUE_SETS), table(spark, root, "canonical_values"))
+
+
+def p4_unmatched(spark: SparkSession, root: str) -> DataFrame:
+    """Values that mean no entry, with their number of stored rows."""
+    mapped = map_values(typed_values(table(spark, root, "records"), VALUE_SETS), table(spark, root, "canonical_values"))
+    return mapped.where("canonical_id = 0").groupBy("value_set", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
 def p7_ids(spark: SparkSession, root: str) -> DataFrame:
     return encode(table(spark, root, "documents"), "doc_id", "text")
 
@@ -42,7 +74,8 @@ def p8_fill(spark: SparkSession, root: str) -> DataFrame:
                    F.max("used").alias("fullest"), F.round(F.avg("used") / CAPACITY, 6).alias("fill"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_records": p1_records, "p1_values": p1_values, "p1_quality": p1_quality,
+QUERIES = {"p3_found": p3_found, "p3_quotes": p3_quotes, "p3_texts": p3_texts, "p4_found": p4_found, "p4_unmatched": p4_unmatched,
+           "p1_found": p1_found, "p1_records": p1_records, "p1_values": p1_values, "p1_quality": p1_quality,
            "p7_ids": p7_ids, "p8_assigned": p8_assigned, "p8_fill": p8_fill}
 
 _P1_SQL = """
@@ -71,4 +104,26 @@ _P1_SQL = """
            first(row_id ORDER BY r1, r2, r3 DESC, r4 DESC, row_id) AS survivor_row
     FROM ranked GROUP BY comp HAVING count(*) > 1"""
 
-SQL: dict[str, str] = {"p1_found": _P1_SQL}
+# The form of problem 3 spelt with DuckDB's own functions, from the same fixed values.
+_WIDE = ("".join(chr(c) for c in range(0xFF01, 0xFF5F)), "".join(chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)))
+_BLANKS = "\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000\u2028\u2029\t\n\v\f\r\u0085"
+_FROM = _WIDE[0] + CYRILLIC + GREEK + _BLANKS + "\u2010\u2011\u00b5"
+_TO = _WIDE[1] + CYRILLIC_AS + GREEK_AS + " " * len(_BLANKS) + "--\u03bc"
+
+
+def _form_sql(x: str) -> str:
+    out = f"regexp_replace({x}, '[\\u00ad\\u200b-\\u200f\\u202a-\\u202e\\u2060-\\u2064\\ufeff\\ufe00-\\ufe0f]', '', 'g')".encode().decode("unicode_escape")
+    out = "translate({}, '{}', '{}')".format(out, _FROM.replace("'", "''"), _TO.replace("'", "''"))
+    for a, b in OTHER.items():
+        if len(b) > 1:
+            out = f"replace({out}, '{a}', '{b}')"
+    return f"nfc_normalize({out})"
+
+
+_P3_SQL = f"""
+    SELECT DISTINCT r.record_id FROM records r JOIN parsed_documents p USING (doc_id),
+         LATERAL (SELECT substr(p.text, r.char_start + 1, r.char_end - r.char_start) AS stretch) s
+    WHERE r.char_start >= 0 AND r.char_end >= r.char_start AND s.stretch <> r.source_quote
+      AND {_form_sql('s.stretch')} = {_form_sql('r.source_quote')}"""
+
+SQL: dict[str, str] = {"p1_found": _P1_SQL, "p3_found": _P3_SQL}
