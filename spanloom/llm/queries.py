@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from spanloom.llm.canonical import map_values, respelt, typed_values
 from spanloom.llm.lookalikes import CYRILLIC, CYRILLIC_AS, GREEK, GREEK_AS, OTHER, in_one_form, quoted_stretches
+from spanloom.llm.markup import clean_texts
 from spanloom.llm.packing import CAPACITY, pack
 from spanloom.llm.representatives import represent
 from spanloom.llm.tokenizer import encode
@@ -28,6 +29,22 @@ def p1_quality(spark: SparkSession, root: str) -> DataFrame:
     return represent(table(spark, root, "publications"))["quality"]
 
 
+def marked_texts(spark: SparkSession, root: str) -> DataFrame:
+    """The texts of problem 2: (field, row_key, host, text); a publication's host is its venue."""
+    parsed = table(spark, root, "parsed_documents").select(F.lit("text").alias("field"), F.col("doc_id").alias("row_key"), F.lit(None).cast("string").alias("host"), "text")
+    pubs = table(spark, root, "publications")
+    return parsed.unionByName(pubs.select(F.lit("abstract").alias("field"), F.col("row_id").cast("string").alias("row_key"), F.col("venue").alias("host"), F.col("abstract").alias("text")))
+
+
+def p2_found(spark: SparkSession, root: str) -> DataFrame:
+    return clean_texts(marked_texts(spark, root)).select("field", "row_key")
+
+
+def p2_clean(spark: SparkSession, root: str) -> DataFrame:
+    """The clean text and the structure of every text that carries residue."""
+    return clean_texts(marked_texts(spark, root))
+
+
 def p3_found(spark: SparkSession, root: str) -> DataFrame:
     pairs = quoted_stretches(table(spark, root, "records"), table(spark, root, "parsed_documents"))
     formed = in_one_form(pairs.where("source_quote <> stretch"), ["source_quote", "stretch"])
@@ -74,7 +91,8 @@ def p8_fill(spark: SparkSession, root: str) -> DataFrame:
                    F.max("used").alias("fullest"), F.round(F.avg("used") / CAPACITY, 6).alias("fill"))
 
 
-QUERIES = {"p3_found": p3_found, "p3_quotes": p3_quotes, "p3_texts": p3_texts, "p4_found": p4_found, "p4_unmatched": p4_unmatched,
+QUERIES = {"p2_found": p2_found, "p2_clean": p2_clean,
+           "p3_found": p3_found, "p3_quotes": p3_quotes, "p3_texts": p3_texts, "p4_found": p4_found, "p4_unmatched": p4_unmatched,
            "p1_found": p1_found, "p1_records": p1_records, "p1_values": p1_values, "p1_quality": p1_quality,
            "p7_ids": p7_ids, "p8_assigned": p8_assigned, "p8_fill": p8_fill}
 
