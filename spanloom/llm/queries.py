@@ -10,6 +10,7 @@ from spanloom.llm.markup import clean_texts
 from spanloom.llm.packing import CAPACITY, pack
 from spanloom.llm.representatives import represent
 from spanloom.llm.tokenizer import encode
+from spanloom.llm.windows import review_windows, split_texts
 from spanloom.sources.tables import table
 
 
@@ -75,6 +76,14 @@ def p4_unmatched(spark: SparkSession, root: str) -> DataFrame:
     return mapped.where("canonical_id = 0").groupBy("value_set", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+def p5_found(spark: SparkSession, root: str) -> DataFrame:
+    return review_windows(table(spark, root, "read_windows"), table(spark, root, "parsed_documents")).select("doc_id", "window_index").distinct()
+
+
+def p5_windows(spark: SparkSession, root: str) -> DataFrame:
+    return split_texts(table(spark, root, "parsed_documents"))
+
+
 def p7_ids(spark: SparkSession, root: str) -> DataFrame:
     return encode(table(spark, root, "documents"), "doc_id", "text")
 
@@ -91,7 +100,8 @@ def p8_fill(spark: SparkSession, root: str) -> DataFrame:
                    F.max("used").alias("fullest"), F.round(F.avg("used") / CAPACITY, 6).alias("fill"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_clean": p2_clean,
+QUERIES = {"p5_found": p5_found, "p5_windows": p5_windows,
+           "p2_found": p2_found, "p2_clean": p2_clean,
            "p3_found": p3_found, "p3_quotes": p3_quotes, "p3_texts": p3_texts, "p4_found": p4_found, "p4_unmatched": p4_unmatched,
            "p1_found": p1_found, "p1_records": p1_records, "p1_values": p1_values, "p1_quality": p1_quality,
            "p7_ids": p7_ids, "p8_assigned": p8_assigned, "p8_fill": p8_fill}
@@ -144,4 +154,13 @@ _P3_SQL = f"""
     WHERE r.char_start >= 0 AND r.char_end >= r.char_start AND s.stretch <> r.source_quote
       AND {_form_sql('s.stretch')} = {_form_sql('r.source_quote')}"""
 
-SQL: dict[str, str] = {"p1_found": _P1_SQL, "p3_found": _P3_SQL}
+_P5_SQL = """
+    WITH w AS (
+        SELECT doc_id, window_index, window_start, window_end, text,
+               lag(window_end) OVER (PARTITION BY doc_id ORDER BY window_index, window_start, window_end) AS last_end
+        FROM read_windows LEFT JOIN parsed_documents USING (doc_id))
+    SELECT DISTINCT doc_id, window_index FROM w
+    WHERE window_end - window_start > 30000 OR window_end > length(text) OR window_start <> last_end - 1500
+       OR (window_end < length(text) AND regexp_matches(substr(text, window_end, 2), '^[\\p{L}\\p{N}]{2}$'))"""
+
+SQL: dict[str, str] = {"p5_found": _P5_SQL, "p1_found": _P1_SQL, "p3_found": _P3_SQL}
