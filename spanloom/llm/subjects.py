@@ -1,15 +1,15 @@
 """Subject areas of documents by labelling functions and a latent accuracy model (problem 9).
 
-A text's sentences are its units.  Five labelling functions vote for a subject, for *none*, or abstain: the **lexicon** (words,
-per language), the subjects' **descriptions** (word stems), web and mail **addresses**, the document's **section** and its
-**source**.  The accuracy of each function is learnt without truth, by expectation-maximisation over the votes of all
+A text's sentences are its units.  Six labelling functions vote for a subject, for *none*, or abstain: the **lexicon** (words,
+per language) where it is sure and where it is less so, the subjects' **descriptions** (word stems), web and mail **addresses**,
+the document's **section** and its **source**.  A sentence in which neither words nor addresses vote is *none*.  The accuracy of each function is learnt without truth, by expectation-maximisation over the votes of all
 sentences; a sentence goes to its most probable class and a document to every subject with at least ``SHARE`` of its sentences.
 
 The lexicon starts from hand-labelled documents (a bounded sample, ``MAX_LABELLED`` rows by hash of their id; a label is a
 prior, not a truth, as some are wrong) and is then re-estimated ``ROUNDS`` times over the sentences of **all** documents, each sentence
 counting with its class probabilities.  Partial counts are combined per task before they are shuffled.  What reaches the driver
 is bounded by parameters: the labelled sample, the ``MAX_TERMS`` most frequent terms of the model, one row per source and section
-(the ``MAX_GROUPS`` most frequent), and vote patterns, at most 11^5.
+(the ``MAX_GROUPS`` most frequent), and vote patterns, at most 11^6 and in practice a few hundred.
 
 Defined results.  Null, empty and blank texts and texts without words: no subject.  Repeated documents give one row per subject.
 Labels in other spellings count, unknown ones do not; a null label says that none was seen.  Without any labels only the
@@ -33,6 +33,8 @@ from spanloom.plans.lineage import cut
 SHARE = 0.2
 MAX_LABELLED, MAX_TERMS, MAX_GROUPS = 5_000, 200_000, 10_000
 ROUNDS, SEED_ROUNDS, LEAST_COUNT = 2, 8, 2
+_SURE, _UNSURE = 4.0, 0.5  # leads of the best class, in log likelihood, at which the lexicon votes
+_LEAST_TERMS = 3  # a sentence of fewer words says too little for the lexicon to vote
 _FLUSH = 200_000  # distinct terms a task holds before it passes its counts on
 
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
@@ -63,7 +65,7 @@ def language(words: Counter) -> int:
 
 
 def _stem(word: str) -> str:
-    return word[:7] if len(word) > 7 else word
+    return word[:-1] if len(word) > 5 else word
 
 
 def terms(text: str | None, stems: dict[str, int]) -> tuple[list[list[int]], list[int], list[list[int]]]:
@@ -75,7 +77,7 @@ def terms(text: str | None, stems: dict[str, int]) -> tuple[list[list[int]], lis
     ids = [[base | crc32(w.encode()) for w in dict.fromkeys(ws) if len(w) > 2] for ws in split]
     votes = []
     for ws in split:
-        hits = Counter(stems[x] for x in {_stem(w) for w in ws} if x in stems).most_common(2)
+        hits = Counter(stems[x] for x in {y for w in ws for y in (w, _stem(w))} if x in stems).most_common(2)
         votes.append(hits[0][0] if hits and (len(hits) == 1 or hits[0][1] > hits[1][1]) else -1)
     hosts = [[1 << 40 | crc32(h.lower().encode()) for h in _ADDRESS.findall(s)] for s in units]
     return ids, votes, hosts
@@ -213,7 +215,7 @@ def fit_accuracies(patterns: np.ndarray, count: np.ndarray, classes: int, rounds
     A function that votes is right with its accuracy and else names any other class alike.
     """
     functions = patterns.shape[1]
-    accuracy, prior = np.array([0.9, 0.7, 0.7, 0.4, 0.4])[:functions], np.full(classes, 1.0 / classes)
+    accuracy, prior = np.array([0.95, 0.7, 0.7, 0.4, 0.4, 0.8])[:functions], np.full(classes, 1.0 / classes)
     voted = patterns >= 0
     for _ in range(rounds):
         share = posterior(patterns, prior, accuracy)
@@ -221,7 +223,7 @@ def fit_accuracies(patterns: np.ndarray, count: np.ndarray, classes: int, rounds
         prior /= prior.sum()
         right = np.take_along_axis(share, np.maximum(patterns, 0), 1) * voted * count[:, None]
         accuracy = (right.sum(0) + 1.0) / ((voted * count[:, None]).sum(0) + 2.0)
-        accuracy = np.clip(accuracy, 1.0 / classes, 0.999)
+        accuracy = np.clip(accuracy, 1.0 / classes, 0.9999)
     return prior, accuracy
 
 
@@ -268,12 +270,15 @@ def assign(documents: DataFrame, areas: DataFrame, labels: DataFrame, share: flo
         words.keys, words.weight, found.keys, found.weight, section, source = shared.value
         nested = {c: batch.column(c).to_pylist() for c in ("terms", "hosts", "described", "section", "source")}
         place = [i for i, doc in enumerate(nested["terms"]) for _ in doc]
-        out = np.full((len(place), 5), -1, np.int64)
+        out = np.full((len(place), 6), -1, np.int64)
         for j, (lex, column) in enumerate(((words, "terms"), (found, "hosts"))):
             score = lex.scores([ts for doc in nested[column] for ts in doc], classes)
             if len(score):
                 two = np.sort(score, 1)[:, -2:]
-                out[:, 2 * j] = np.where(two[:, 1] - two[:, 0] > 0.5, score.argmax(1), -1)
+                margin = np.where([j == 1 or len(ts) >= _LEAST_TERMS for doc in nested[column] for ts in doc], two[:, 1] - two[:, 0], 0.0)
+                out[:, 2 * j] = np.where(margin > (_SURE if j == 0 else _UNSURE), score.argmax(1), -1)
+                if j == 0:
+                    out[:, 5] = np.where((margin > _UNSURE) & (margin <= _SURE), score.argmax(1), -1)
         out[:, 1] = [v for doc in nested["described"] for v in doc]
         out[:, 3] = [section.get(nested["section"][i], -1) for i in place]
         out[:, 4] = [source.get(nested["source"][i], -1) for i in place]
@@ -285,13 +290,14 @@ def assign(documents: DataFrame, areas: DataFrame, labels: DataFrame, share: flo
             yield pa.RecordBatch.from_arrays([pa.array([list(k) for k in seen], pa.list_(pa.int64())), pa.array(list(seen.values()), pa.int64())], ["votes", "n"])
 
     seen = docs.mapInArrow(count, "votes array<long>, n long").groupBy("votes").agg(F.sum("n").alias("n")).orderBy("votes").collect()
-    patterns = np.array([r["votes"] for r in seen], np.int64).reshape(-1, 5)
+    patterns = np.array([r["votes"] for r in seen], np.int64).reshape(-1, 6)
     prior, accuracy = fit_accuracies(patterns, np.array([r["n"] for r in seen], float), classes)
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             place, cast = votes(batch)
             best = posterior(cast, prior, accuracy).argmax(1) if len(place) else np.zeros(0, int)
+            best[(cast[:, [0, 1, 2, 5]] < 0).all(1)] = classes - 1
             of, size = Counter(zip(place, best.tolist())), Counter(place)
             ids = batch.column("doc_id").to_pylist()
             made = [(ids[i], subjects[k], size[i], n) for (i, k), n in of.items() if k < classes - 1 and n >= share * size[i] - 1e-9]
