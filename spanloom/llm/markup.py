@@ -46,6 +46,8 @@ BLOCK = frozenset(
     "form h1 h2 h3 h4 h5 h6 header html li list list-item main nav ol p pre sec section table table-wrap tbody tfoot thead title tr ul".split()
 )
 
+MAX_SENT_HOSTS = 20_000  # hosts with noise whose paths are broadcast
+
 _NAME = "|".join(sorted(map(re.escape, ELEMENTS), key=len, reverse=True))
 _ATTRS = r"""(?:\s+[A-Za-z_:][\w:.-]*\s*=\s*(?:"[^"<>]*"|'[^'<>]*'|[^\s"'<>=]+))"""
 # Every alternative begins with a literal, so the scan skips from one possible first character to the next; a line's
@@ -256,7 +258,9 @@ def clean_texts(df: DataFrame) -> DataFrame:
     """(field, row_key, clean, blocks) of every row of ``df`` (field, row_key, host, text) that carries residue."""
     df = df.select("field", "row_key", F.coalesce("host", F.lit("")).alias("host"), "text")
     marked = cut(residue(df))
-    ready = marked.join(noise_paths(marked), "host", "left")
+    noise = cut(noise_paths(marked))
+    # few hosts have noise: a checked size is sent to the pages where they lie, a larger one is joined by host
+    ready = marked.join(F.broadcast(noise) if noise.count() <= MAX_SENT_HOSTS else noise, "host", "left")
     kind = pa.list_(pa.struct([("kind", pa.string()), ("level", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
