@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from spanloom.plans import skew_queries
+from spanloom.plans import skew_queries, span_queries
 
-_MODULES = [skew_queries]
+_MODULES = [skew_queries, span_queries]
 
 
 def queries() -> dict:
