@@ -101,6 +101,18 @@ def merge_verdicts(records: DataFrame, verdicts: DataFrame) -> DataFrame:
         "*", F.col("_v.verdict").alias("judge_verdict"), F.col("_v.confidence").alias("judge_confidence"), F.col("_v.reason").alias("judge_reason")).drop("_v")
 
 
+def request_parts(records: DataFrame, line: Column, size: int = 200) -> DataFrame:
+    """(doc_id, part, n_records, body): the lines of a document's records, in parts of about ``size`` by hash of the record.
+
+    However many records a document has, no task gathers more than a part of them.
+    """
+    counts = records.groupBy("doc_id").agg(F.ceil(F.count(F.lit(1)) / size).cast("long").alias("_parts"))
+    code = F.conv(F.substring(F.md5(F.col("record_id").cast("binary")), 1, 8), 16, 10).cast("long")
+    items = records.withColumn("_line", line).join(counts, "doc_id").withColumn("part", F.pmod(code, F.col("_parts")))
+    grouped = items.groupBy("doc_id", "part").agg(F.array_sort(F.collect_list(F.struct("record_id", "_line"))).alias("items"), F.count(F.lit(1)).alias("n_records"))
+    return grouped.select("doc_id", "part", "n_records", F.array_join(F.transform("items", lambda x: x["_line"]), "\n").alias("body"))
+
+
 def calibration(labelled: DataFrame) -> DataFrame:
     """Confusion of a judge against labels (verdict, label): confirmed and correct are the positives; others are left out."""
     p, t = F.col("verdict") == "confirmed", F.col("label") == "correct"

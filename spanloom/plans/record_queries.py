@@ -111,13 +111,12 @@ def trust_by_class(spark: SparkSession, root: str) -> DataFrame:
 
 
 def judge_requests(spark: SparkSession, root: str) -> DataFrame:
-    """One judge request per document: its quoted records in order, and its distinct candidates counted."""
+    """Judge requests per document in parts of about 200 records, with the document's distinct candidates counted."""
     r = _records(spark, root).where("source_quote <> '' AND doc_id IS NOT NULL").select("doc_id", "record_id", "extraction_class", "source_quote").distinct()
-    item = F.struct("record_id", F.concat_ws(" | ", "record_id", "extraction_class", "source_quote").alias("line"))
-    body = r.groupBy("doc_id").agg(F.array_sort(F.collect_list(item)).alias("items"), F.count(F.lit(1)).alias("n_records"))
+    body = R.request_parts(r, F.concat_ws(" | ", "record_id", "extraction_class", "source_quote"))
     c = table(spark, root, "candidates").where("doc_id IS NOT NULL").select("doc_id", "value").distinct().groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_values"))
     out = body.join(c, "doc_id", "left")
-    return out.select("doc_id", "n_records", F.coalesce("n_values", F.lit(0)).alias("n_values"), F.md5(F.array_join(F.transform("items", lambda x: x["line"]), "\n").cast("binary")).alias("prompt_digest"))
+    return out.select("doc_id", "part", "n_records", F.coalesce("n_values", F.lit(0)).alias("n_values"), F.md5(F.col("body").cast("binary")).alias("prompt_digest"))
 
 
 def label_sample(spark: SparkSession, root: str) -> DataFrame:
@@ -201,8 +200,9 @@ SQL = {
                count(*) FILTER (candidate_support) AS n_supported, round(count(*) FILTER (judge_verdict = 'confirmed') / nullif(count(judge_verdict), 0), 3) AS confirmed_share FROM records GROUP BY 1""",
     "judge_requests": """
         WITH r AS (SELECT DISTINCT doc_id, record_id, extraction_class, source_quote FROM records WHERE source_quote <> '' AND doc_id IS NOT NULL),
-        b AS (SELECT doc_id, count(*) AS n_records, md5(string_agg(record_id || ' | ' || extraction_class || ' | ' || source_quote, chr(10) ORDER BY record_id, record_id || ' | ' || extraction_class || ' | ' || source_quote)) AS prompt_digest FROM r GROUP BY doc_id)
-        SELECT doc_id, n_records, (SELECT count(DISTINCT value) FROM candidates c WHERE c.doc_id = b.doc_id) AS n_values, prompt_digest FROM b""",
+        p AS (SELECT *, CAST('0x' || substr(md5(record_id), 1, 8) AS BIGINT) % CAST(ceil(count(*) OVER (PARTITION BY doc_id) / 200.0) AS BIGINT) AS part FROM r),
+        b AS (SELECT doc_id, part, count(*) AS n_records, md5(string_agg(record_id || ' | ' || extraction_class || ' | ' || source_quote, chr(10) ORDER BY record_id, record_id || ' | ' || extraction_class || ' | ' || source_quote)) AS prompt_digest FROM p GROUP BY ALL)
+        SELECT doc_id, part, n_records, (SELECT count(DISTINCT value) FROM candidates c WHERE c.doc_id = b.doc_id) AS n_values, prompt_digest FROM b""",
     "label_sample": """
         SELECT DISTINCT record_id, doc_id, extraction_class, candidate_support FROM records WHERE source_quote <> ''
         ORDER BY coalesce(candidate_support, false) DESC, md5('labels_1' || record_id), record_id LIMIT 200""",
