@@ -46,7 +46,8 @@ def locate(quote: str | None, text: str | None, hint: int | None = None) -> tupl
 
 
 def align(quotes: DataFrame, texts: DataFrame) -> DataFrame:
-    """``quotes`` (doc_id, source_quote, hint, ...) with aligned_start, aligned_end, aligned_status (null: not in the text)."""
+    """``quotes`` (doc_id, source_quote, hint, ...) with aligned_start, aligned_end, aligned_status and aligned_quote, the
+    source's own characters (null: not in the text)."""
     joined = quotes.join(texts.select("doc_id", "text"), "doc_id", "left")
     bare = F.trim(F.regexp_replace("source_quote", r"(?U)^\s+|\s+$", ""))
     joined = joined.withColumn("_quote", bare)
@@ -55,14 +56,18 @@ def align(quotes: DataFrame, texts: DataFrame) -> DataFrame:
         "_once", (F.col("_first") > 0) & F.expr("locate(_quote, text, _first + 1) = 0"))
     columns = quotes.columns
     once = joined.where("_once").select(
-        *columns, (F.col("_first") - 1).alias("aligned_start"), (F.col("_first") - 1 + F.length("_quote")).alias("aligned_end"), F.lit("match_exact").alias("aligned_status"))
+        *columns, (F.col("_first") - 1).alias("aligned_start"), (F.col("_first") - 1 + F.length("_quote")).alias("aligned_end"), F.lit("match_exact").alias("aligned_status"),
+        F.col("_quote").alias("aligned_quote"))
     rest = joined.where("_once IS NULL OR NOT _once").select(*columns, "text")
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in once.schema])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [locate(q, t, h) or (None, None, None) for q, t, h in zip(*(batch.column(c).to_pylist() for c in ("source_quote", "text", "hint")))]
-            made = [pa.array([f[k] for f in found], t) for k, t in enumerate((pa.int32(), pa.int32(), pa.string()))]
+            found = []
+            for q, t, h in zip(*(batch.column(c).to_pylist() for c in ("source_quote", "text", "hint"))):
+                at = locate(q, t, h)
+                found.append((*at, t[at[0] : at[1]]) if at else (None,) * 4)
+            made = [pa.array([f[k] for f in found], t) for k, t in enumerate((pa.int32(), pa.int32(), pa.string(), pa.string()))]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), *made], schema.names)
 
     return once.unionByName(rest.mapInArrow(run, schema))

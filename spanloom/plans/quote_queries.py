@@ -18,7 +18,7 @@ OWN_KINDS = ["vault"]
 def align_quotes(spark: SparkSession, root: str) -> DataFrame:
     """Every quotation placed in its text, all three tiers."""
     q = table(spark, root, "records").where("source_quote <> ''").select("record_id", "doc_id", "source_quote", F.col("char_start").alias("hint")).distinct()
-    return align(q, table(spark, root, "parsed_documents")).drop("source_quote", "hint")
+    return align(q, table(spark, root, "parsed_documents")).drop("source_quote", "hint", "aligned_quote")
 
 
 def align_exact(spark: SparkSession, root: str) -> DataFrame:
