@@ -208,7 +208,8 @@ def typed_values(records: DataFrame, value_sets: list[str]) -> DataFrame:
 
 
 def map_values(values: DataFrame, reference: DataFrame, shards: int | None = None) -> DataFrame:
-    """``values`` (any columns with value_set, value) plus canonical_id, 0 where the value means none."""
+    """``values`` (any columns with value_set, value) plus canonical_id (replaced if there), 0 where the value means none."""
+    values = values.drop("canonical_id")
     names = _names(reference)
     if shards is None:
         n = names.count()

@@ -75,7 +75,8 @@ def same_form(text: str | None) -> str | None:
 
 
 def in_one_form(df: DataFrame, columns: list[str]) -> DataFrame:
-    """``df`` with ``NAME_form`` for each of ``columns``; no shuffle."""
+    """``df`` with ``NAME_form`` for each of ``columns`` (a column of that name is replaced); no shuffle."""
+    df = df.drop(*[f"{c}_form" for c in columns])
     schema = df.select("*", *[F.col(c).alias(f"{c}_form") for c in columns]).schema
     names = df.columns
 

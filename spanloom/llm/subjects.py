@@ -250,6 +250,9 @@ def assign(documents: DataFrame, areas: DataFrame, labels: DataFrame, share: flo
     """(doc_id, subject, n_sentences, n_subject) of every document and subject with enough of its sentences."""
     rows = areas.where("subject IS NOT NULL").select("subject_id", "subject", F.coalesce("description", F.lit("")).alias("description")).orderBy("subject_id").collect()
     subjects = [r["subject"] for r in rows]
+    out = "doc_id long, subject string, n_sentences int, n_subject int"
+    if not subjects:
+        return documents.sparkSession.createDataFrame([], out)
     classes = len(subjects) + 1
     told = Counter((_stem(w.lower()), k) for k, r in enumerate(rows) for w in set(_WORD.findall(r["subject"].replace("_", " ") + " " + r["description"])) if len(w) > 3)
     owners = Counter(w for w, _ in told)
@@ -304,4 +307,4 @@ def assign(documents: DataFrame, areas: DataFrame, labels: DataFrame, share: flo
             columns = list(zip(*made)) if made else [[], [], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.string(), pa.int32(), pa.int32()))], ["doc_id", "subject", "n_sentences", "n_subject"])
 
-    return docs.mapInArrow(decide, "doc_id long, subject string, n_sentences int, n_subject int")
+    return docs.mapInArrow(decide, out)
