@@ -5,27 +5,28 @@ from __future__ import annotations
 import json
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from spanloom.functions.text import file_version
 
-RECORD = T.StructType.fromDDL(
+# Explicit schemas (DDL); nothing is inferred.
+RECORD = (
     "record_id string, run_id string, doc_id string, community string, pass_name string, extraction_class string, source_quote string, char_start int, char_end int, "
     "source_section string, alignment_status string, attributes map<string,string>, attributes_canonical map<string,string>, enum_drift array<string>, candidate_support boolean, "
     "judge_verdict string, judge_confidence double, judge_reason string, extractor_model string, prompt_version string, schema_version string, evidence_scope string")
-REJECTED = T.StructType([*RECORD.fields, T.StructField("reject_reason", T.StringType())])
-SEED = T.StructType.fromDDL("pmid string, doi string, pmcid string, title string, centre string, grant_numbers string")
-RESPONSE = T.StructType.fromDDL(
+REJECTED = RECORD + ", reject_reason string"
+SEED = "pmid string, doi string, pmcid string, title string, centre string, grant_numbers string"
+RESPONSE = (
     "key string, custom_id string, response struct<candidates:array<struct<finishReason:string,content:struct<parts:array<struct<text:string>>>>>,"
     "usageMetadata:struct<promptTokenCount:int,candidatesTokenCount:int,thoughtsTokenCount:int>>")
 
 
-def read_jsonl(spark: SparkSession, paths: str | list[str], schema: T.StructType) -> DataFrame:
+def read_jsonl(spark: SparkSession, paths: str | list[str], schema: str) -> DataFrame:
     """JSON lines under an explicit schema: fields missing from a file are null, blank lines are skipped."""
     return spark.read.schema(schema).json(paths)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """A CSV with header; without a schema every column is a string (no inference)."""
     reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
     return (reader.schema(schema) if schema else reader).csv(path)
