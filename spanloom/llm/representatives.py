@@ -146,11 +146,14 @@ def survivors(pubs: DataFrame, linked: DataFrame) -> DataFrame:
 
 
 def claims(pubs: DataFrame, linked: DataFrame) -> DataFrame:
-    """(component, field, value, source, n, newest, best): how often each kind of source gives each value of a group."""
+    """(component, field, value, source, n, newest, best): how often each kind of source gives each value of a group.
+
+    The null value counts the rows in which the source fills the field at all, whatever the number of values.
+    """
     values = [F.struct(F.lit(f).alias("field"), F.array_compact(F.array(_spelling(f, F.col(f)))).alias("values")) for f in SINGLE]
     values += [F.struct(F.lit(f).alias("field"), F.coalesce(_spelling(f, F.col(f)), F.array().cast("array<string>")).alias("values")) for f in MULTI]
     rows = pubs.select("_work", _source().alias("source"), day_number(F.col("snapshot_date")).alias("day"), _order().alias("order"), F.explode(F.array(*values)).alias("f"))
-    rows = rows.select("_work", "source", "day", "order", "f.field", F.explode("f.values").alias("value"))
+    rows = rows.select("_work", "source", "day", "order", "f.field", F.explode(F.when(F.size("f.values") > 0, F.array_append("f.values", F.lit(None).cast("string")))).alias("value"))
     # one compact state per (work, field, value, source) before the components are joined
     rows = rows.groupBy("_work", "field", "value", "source").agg(F.count(F.lit(1)).alias("n"), F.max("day").alias("newest"), F.min("order").alias("best"))
     rows = rows.join(linked, "_work", "left").withColumn("component", F.coalesce("component", "_work"))
@@ -160,8 +163,8 @@ def claims(pubs: DataFrame, linked: DataFrame) -> DataFrame:
 def facts(claimed: DataFrame) -> DataFrame:
     """One row per (component, field, value) with what each source claims and denies: at most 21 entries each."""
     pair = lambda n: F.array_sort(F.collect_list(F.struct("source", F.col(n).alias("n"))))
-    said = claimed.groupBy("component", "field", "value").agg(pair("n").alias("said"), F.max("newest").alias("newest"), F.min("best").alias("best"))
-    cover = claimed.groupBy("component", "field", "source").agg(F.sum("n").alias("n")).groupBy("component", "field").agg(pair("n").alias("cover"))
+    said = claimed.where("value IS NOT NULL").groupBy("component", "field", "value").agg(pair("n").alias("said"), F.max("newest").alias("newest"), F.min("best").alias("best"))
+    cover = claimed.where("value IS NULL").groupBy("component", "field").agg(pair("n").alias("cover"))
     both = said.join(cover, ["component", "field"])
     given = lambda s: F.coalesce(F.get(F.filter("said", lambda x: x["source"] == s["source"]), F.lit(0))["n"], F.lit(0))
     votes = F.transform("cover", lambda s: F.struct(s["source"].alias("source"), given(s).alias("pos"), (s["n"] - given(s)).alias("neg")))
