@@ -60,7 +60,7 @@ _LINK = r"\[[^\[\]\n]*\]\([^()\s]*(?:[ \t]+\"[^\"\n]*\")?\)"
 _STAR = r"\*(?<![\w*]\*)(?=[^\s*])[^*\n]*[^\s*]\*(?![\w*])"
 _LOW = r"_(?<![\w_]_)(?=[^\s_])[^_\n]*[^\s_]_(?![\w_])"
 _MATH = r"\$[^$\n]*[\\^_{][^$\n]*\$"
-_INLINE = [_IMAGE, _LINK, r"\*\*", r"__(?<!\w__)(?=[^\s_])", r"__(?<=[^\s_]__)(?!\w)", r"~~", r"`[^`\n]+`", r"```", _STAR, _LOW,
+_INLINE = [_IMAGE, _LINK, r"\*\*", r"__(?<!\w__)(?=[^\s_])[^\n]*?[^\s_]__(?!\w)", r"~~", r"`[^`\n]+`", r"```", _STAR, _LOW,
            r"\[\[", r"\]\]", r"\{\{", r"\}\}", r"''", r"\\[A-Za-z]+\*?", r"\\[%&_#$(){}\[\]]", _MATH, r"\$\$"]
 _LINE = [r"[ \t]*(?:```|~~~)", r" {0,3}\#{1,6}[ \t]+\S", r" {0,3}[^\s=|>#*+-][^\n]*\n {0,3}(?:={3,}|-{3,})[ \t]*(?=\n|\Z)",
          r" {0,3}(?:-{3,}|\*{3,}|_{3,})[ \t]*(?=\n|\Z)", r"[ \t]*\|?[ \t]*:?-{3,}:?[ \t]*\|[-:| \t]*(?=\n|\Z)", r"[ \t]*\|[^\n]*\|[ \t]*(?=\n|\Z)",
@@ -125,7 +125,7 @@ _INLINE_RULES = [(re.compile(p, re.DOTALL), r) for p, r in (
     (r"~?\\(?:cite|citep|citet|label|ref|eqref|pageref|bibliography|bibliographystyle|usepackage|documentclass)\*?(?:\[[^\]\n]*\])?\{[^{}]*\}", ""),
     (r"\\footnote\{([^{}]*)\}", r" (\1)"), (r"\{\\[A-Za-z]+[ \t]+([^{}]*)\}", r"\1"), (r"\\[A-Za-z]+\*?\{([^{}]*\{[^{}]*\}[^{}]*|[^{}]*)\}", r"\1"),
     (r"\\([%&_#$(){}\[\]])", r"\1"), (r"\\[A-Za-z]+\*?[ \t]?", ""),
-    (r"''+", ""), (r"\*\*+", ""), (r"~~", ""), (r"(?<!\w)__(?=[^\s_])|(?<=[^\s_])__(?!\w)", ""),
+    (r"''+", ""), (r"\*\*+", ""), (r"~~", ""), (r"(?<!\w)__(?=[^\s_])([^\n]*?[^\s_])__(?!\w)", r"\1"),
     (r"(?<![\w*])\*(?=[^\s*])([^*\n]*[^\s*])\*(?![\w*])", r"\1"), (r"(?<![\w_])_(?=[^\s_])([^_\n]*[^\s_])_(?![\w_])", r"\1"), (r"```", ""),
 )]
 
