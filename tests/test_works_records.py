@@ -133,7 +133,7 @@ def test_request_keys_and_estimate(spark):
 def test_files_and_connectors(spark, tmp_path):
     df = spark.createDataFrame([("r", None, 1)], "record_id string, judge_verdict string, char_start int")
     files.write_jsonl(df, str(tmp_path / "j"))
-    assert "judge_verdict" in next((tmp_path / "j").glob("part-*")).read_text()
+    assert "judge_verdict" in "".join(f.read_text() for f in (tmp_path / "j").glob("part-*"))
     assert files.read_jsonl(spark, str(tmp_path / "j"), files.RECORD).first().record_id == "r"
     (tmp_path / "seed.csv").write_text("pmid,doi,pmcid,title,centre,grant_numbers\n1,,,\"a, b\",x;y,\n")
     assert files.read_csv(spark, str(tmp_path / "seed.csv"), files.SEED).first().title == "a, b"
