@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from spanloom.operators import align, candidates, passes, records, spans
 from spanloom.operators.harvest import harvest
 from spanloom.plans import registry
+from spanloom.plans.ship import ship
 from spanloom.plans.work_queries import _latest
 from spanloom.sources import articles, files
 from spanloom.sources.tables import table
@@ -50,6 +51,7 @@ def main(argv: list[str] | None = None) -> int:
         print(*registry.queries(), sep="\n")
         return 0
     spark = SparkSession.builder.appName("spanloom").getOrCreate()
+    ship(spark)
     t = lambda name: table(spark, a.root, name)
     if a.command == "parse":
         _save(articles.parse_articles(files.read_articles(spark, a.folder)), a.out)
