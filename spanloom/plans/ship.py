@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
+import shutil
 import tempfile
 import zipfile
 from collections.abc import Callable
@@ -18,12 +20,13 @@ def ship(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if getattr(sc, "_spanloom_sent", False):
         return
-    with tempfile.TemporaryDirectory() as folder:
-        target = Path(folder, "spanloom.zip")
-        with zipfile.ZipFile(target, "w") as z:
-            for f in sorted(_PACKAGE.rglob("*.py")):
-                z.write(f, f.relative_to(_PACKAGE.parent))
-        sc.addPyFile(str(target))  # copied to the driver's served files at once
+    folder = tempfile.mkdtemp(prefix="spanloom-")  # the driver serves the file from here as long as it runs
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    target = Path(folder, "spanloom.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(_PACKAGE.rglob("*.py")):
+            z.write(f, f.relative_to(_PACKAGE.parent))
+    sc.addPyFile(str(target))
     sc._spanloom_sent = True
 
 
