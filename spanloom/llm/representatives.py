@@ -10,13 +10,13 @@ Three parts, each without a hot task:
   availability, at most 21).  A *fact* is (group, field, value); a source that fills the field in the group claims the
   values it gives and denies the group's others.  Expectation-maximisation over all facts of groups of two or more rows
   learns each source's sensitivity (true values it gives) and specificity (false values it withholds) per field; a fact's
-  posterior follows from them.  Single-valued fields take the value of highest posterior (then newest, then best row),
+  posterior follows from them.  Single-valued fields take the value of highest posterior (then newest, then last in order of text),
   multi-valued ones keep every value judged true.  The facts are first reduced to patterns (who claims, who denies, how
   often), so an iteration is one small aggregate and only the at most 21 x fields parameters reach the driver.
 
 Defined results.  Null ``doc_id``: the row is a work of its own, linked only by its ``merged_from``.  Null or empty
 ``merged_from``, ids that repeat or that no row carries, and a row naming itself link nothing.  Repeated rows count as
-claims again and never change the groups.  Ties end at the smallest ``row_id`` (rows) or the smallest text (values).  Null
+claims again and never change the groups.  Ties end at the smallest ``row_id`` (rows) or the last text (values).  Null
 and blank values claim nothing; a field that no row fills is absent.  An empty table gives empty results.  Other columns,
 whatever their names, are ignored.
 """
@@ -124,51 +124,54 @@ def _spelling(field: str, c: Column) -> Column:
     return plain(c.cast("string"))
 
 
-def _with_work(pubs: DataFrame) -> DataFrame:
-    return pubs.withColumn("_work", F.coalesce(work_key(F.col("doc_id")), F.concat(F.lit("row:"), F.col("row_id").cast("string"))))
+def prepared(pubs: DataFrame) -> DataFrame:
+    """The rows with their work, order, source, day and the values of every field in one spelling, made once."""
+    values = [F.struct(F.lit(f).alias("field"), F.array_compact(F.array(_spelling(f, F.col(f)))).alias("values")) for f in SINGLE]
+    values += [F.struct(F.lit(f).alias("field"), F.coalesce(_spelling(f, F.col(f)), F.array().cast("array<string>")).alias("values")) for f in MULTI]
+    work = F.coalesce(work_key(F.col("doc_id")), F.concat(F.lit("row:"), F.col("row_id").cast("string")))
+    return cut(pubs.select(work.alias("_work"), "row_id", _order().alias("order"), _source().alias("source"), F.array(*values).alias("fields")))
 
 
-def work_components(pubs: DataFrame) -> DataFrame:
+def work_components(rows: DataFrame) -> DataFrame:
     """(work, component) of every work that is linked to another loaded work."""
-    works = pubs.select(F.col("_work").alias("named")).distinct()
-    told = pubs.where(F.size("merged_from") > 0).select("_work", F.explode(_spelling("merged_from", F.col("merged_from"))).alias("named"))
+    works = rows.select(F.col("_work").alias("named")).distinct()
+    named = F.filter("fields", lambda f: f["field"] == "merged_from")[0]["values"]
+    told = rows.select("_work", F.explode(named).alias("named"))
     told = told.where("_work <> named").distinct().join(works, "named", "left_semi")
     return components(told, "_work", "named").withColumnsRenamed({"node": "_work"})
 
 
-def survivors(pubs: DataFrame, linked: DataFrame) -> DataFrame:
+def survivors(rows: DataFrame, linked: DataFrame) -> DataFrame:
     """(component, group_row, survivor_row, n_rows) for every group, single rows included."""
-    per_work = pubs.groupBy("_work").agg(F.min(_order()).alias("best"), F.min("row_id").alias("least"), F.count(F.lit(1)).alias("n"))
+    per_work = rows.groupBy("_work").agg(F.min("order").alias("best"), F.min("row_id").alias("least"), F.count(F.lit(1)).alias("n"))
     per_work = per_work.join(linked, "_work", "left").withColumn("component", F.coalesce("component", "_work"))
     return per_work.groupBy("component").agg(
         F.min("least").alias("group_row"), F.min("best")["row"].alias("survivor_row"), F.sum("n").alias("n_rows")
     )
 
 
-def claims(pubs: DataFrame, linked: DataFrame) -> DataFrame:
-    """(component, field, value, source, n, newest, best): how often each kind of source gives each value of a group.
+def claims(rows: DataFrame, linked: DataFrame) -> DataFrame:
+    """(component, field, value, source, n, newest): how often each kind of source gives each value of a group.
 
     The null value counts the rows in which the source fills the field at all, whatever the number of values.
     """
-    values = [F.struct(F.lit(f).alias("field"), F.array_compact(F.array(_spelling(f, F.col(f)))).alias("values")) for f in SINGLE]
-    values += [F.struct(F.lit(f).alias("field"), F.coalesce(_spelling(f, F.col(f)), F.array().cast("array<string>")).alias("values")) for f in MULTI]
-    rows = pubs.select("_work", _source().alias("source"), day_number(F.col("snapshot_date")).alias("day"), _order().alias("order"), F.explode(F.array(*values)).alias("f"))
-    rows = rows.select("_work", "source", "day", "order", "f.field", F.explode(F.when(F.size("f.values") > 0, F.array_append("f.values", F.lit(None).cast("string")))).alias("value"))
+    rows = rows.select("_work", "source", (-F.col("order.day")).alias("day"), F.explode("fields").alias("f"))
+    rows = rows.select("_work", "source", "day", "f.field", F.explode(F.when(F.size("f.values") > 0, F.array_append("f.values", F.lit(None).cast("string")))).alias("value"))
     # one compact state per (work, field, value, source) before the components are joined
-    rows = rows.groupBy("_work", "field", "value", "source").agg(F.count(F.lit(1)).alias("n"), F.max("day").alias("newest"), F.min("order").alias("best"))
+    rows = rows.groupBy("_work", "field", "value", "source").agg(F.count(F.lit(1)).alias("n"), F.max("day").alias("newest"))
     rows = rows.join(linked, "_work", "left").withColumn("component", F.coalesce("component", "_work"))
-    return rows.groupBy("component", "field", "value", "source").agg(F.sum("n").alias("n"), F.max("newest").alias("newest"), F.min("best").alias("best"))
+    return rows.groupBy("component", "field", "value", "source").agg(F.sum("n").alias("n"), F.max("newest").alias("newest"))
 
 
 def facts(claimed: DataFrame) -> DataFrame:
     """One row per (component, field, value) with what each source claims and denies: at most 21 entries each."""
     pair = lambda n: F.array_sort(F.collect_list(F.struct("source", F.col(n).alias("n"))))
-    said = claimed.where("value IS NOT NULL").groupBy("component", "field", "value").agg(pair("n").alias("said"), F.max("newest").alias("newest"), F.min("best").alias("best"))
+    said = claimed.where("value IS NOT NULL").groupBy("component", "field", "value").agg(pair("n").alias("said"), F.max("newest").alias("newest"))
     cover = claimed.where("value IS NULL").groupBy("component", "field").agg(pair("n").alias("cover"))
     both = said.join(cover, ["component", "field"])
     given = lambda s: F.coalesce(F.get(F.filter("said", lambda x: x["source"] == s["source"]), F.lit(0))["n"], F.lit(0))
     votes = F.transform("cover", lambda s: F.struct(s["source"].alias("source"), given(s).alias("pos"), (s["n"] - given(s)).alias("neg")))
-    return both.select("component", "field", "value", "newest", "best", votes.alias("votes"))
+    return both.select("component", "field", "value", "newest", votes.alias("votes"))
 
 
 def _posterior(quality: dict[tuple[str, str], tuple[float, float]]) -> Column:
@@ -212,13 +215,13 @@ def represent(pubs: DataFrame) -> dict[str, DataFrame]:
     """``records`` (one row per group with its survivor and best single values), ``values`` (every kept value of every
     field with its posterior) and ``quality`` (what was learnt of each source)."""
     spark = pubs.sparkSession
-    pubs = _with_work(pubs)
-    linked = cut(work_components(pubs))
-    heads = survivors(pubs, linked)
-    fact = cut(facts(claims(pubs, linked)))
+    rows = prepared(pubs)
+    linked = cut(work_components(rows))
+    heads = survivors(rows, linked)
+    fact = cut(facts(claims(rows, linked)))
     quality = source_quality(fact.join(heads.where("n_rows > 1").select("component"), "component", "left_semi"))
     judged = fact.withColumn("posterior", _posterior(quality) if quality else F.lit(_PRIOR))
-    rank = F.struct(F.col("posterior"), F.coalesce("newest", F.lit(0)), *[(-F.col(f"best.{x}")).alias(x) for x in ("preprint", "status", "version", "day", "row")])
+    rank = F.struct(F.col("posterior"), F.coalesce("newest", F.lit(0)).alias("newest"))
     multi = F.col("field").isin(MULTI)
     picks = judged.where(~multi).groupBy("component").agg(*[
         F.max(F.when(F.col("field") == f, F.struct(rank, F.col("value"), F.col("posterior").alias("sure")))).alias(f"_{f}") for f in SINGLE
@@ -228,6 +231,6 @@ def represent(pubs: DataFrame) -> dict[str, DataFrame]:
         F.array_min(F.array_compact(F.array(*[F.col(f"_{f}.sure") for f in SINGLE]))).alias("least_posterior"),
     )
     kept = judged.where(multi & (F.col("posterior") >= 0.5)).select("component", "field", "value", "posterior")
-    rows = [(f, s, round(a, 6), round(b, 6)) for (f, s), (a, b) in sorted(quality.items())]
-    learnt = spark.createDataFrame(rows, "field string, source string, sensitivity double, specificity double")
+    table = [(f, s, round(a, 6), round(b, 6)) for (f, s), (a, b) in sorted(quality.items())]
+    learnt = spark.createDataFrame(table, "field string, source string, sensitivity double, specificity double")
     return {"records": records, "values": kept.join(heads.select("component", "group_row"), "component").drop("component"), "quality": learnt}
