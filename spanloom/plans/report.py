@@ -1,0 +1,23 @@
+"""A Markdown report in which every number comes from a table."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def markdown_table(df: DataFrame, most: int = 100) -> str:
+    """A small table as Markdown; a table of more than ``most`` rows is named, not printed."""
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        return f"(more than {most} rows)"
+    cell = lambda x: "" if x is None else str(x).replace("|", "\\|")
+    return "\n".join(["| " + " | ".join(df.columns) + " |", "|" + "-|" * len(df.columns), *("| " + " | ".join(map(cell, r)) + " |" for r in rows)])
+
+
+def render(title: str, tables: dict[str, DataFrame], filters: dict[str, str] | None = None) -> str:
+    """The report: one section a table, with the filter it was made under."""
+    parts = [f"# {title}"]
+    for name, df in tables.items():
+        note = (filters or {}).get(name)
+        parts += [f"## {name}", *([f"Filter: {note}"] if note else []), markdown_table(df)]
+    return "\n\n".join(parts) + "\n"
