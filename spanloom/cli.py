@@ -11,7 +11,7 @@ from spanloom.operators import align, candidates, passes, records, spans
 from spanloom.operators.harvest import harvest
 from spanloom.plans import registry
 from spanloom.plans.ship import ship
-from spanloom.plans.work_queries import _latest
+from spanloom.plans.work_queries import VIEW_COLUMNS, _latest
 from spanloom.sources import articles, files
 from spanloom.sources.tables import table
 
@@ -85,7 +85,7 @@ def main(argv: list[str] | None = None) -> int:
         files.write_gold_csv(records.seeded_sample(t("records").where("source_quote <> ''").select("record_id", "doc_id", "extraction_class", "source_quote", "candidate_support").distinct(),
                                                    "record_id", a.n, a.seed, F.col("candidate_support")), a.out)
     elif a.command == "gold":
-        files.write_gold_csv(records.gold_table(t("records"), _latest(spark, a.root), a.cls, a.attributes.split(",")), a.out)
+        files.write_gold_csv(records.gold_table(t("records"), _latest(spark, a.root, *VIEW_COLUMNS), a.cls, a.attributes.split(",")), a.out)
     elif a.command == "report":
         from spanloom.plans import figure_queries
 

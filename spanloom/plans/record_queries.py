@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from spanloom.functions.ids import record_id
 from spanloom.operators import records as R
-from spanloom.plans.work_queries import _LATEST, _latest
+from spanloom.plans.work_queries import _LATEST, VIEW_COLUMNS, _latest
 from spanloom.sources.tables import table
 
 TIERS = {"access_tier": ["open", "controlled", "registered"], "direction": ["released", "acquired"]}
@@ -20,7 +20,7 @@ def _records(spark: SparkSession, root: str) -> DataFrame:
 
 
 def v_records(spark: SparkSession, root: str) -> DataFrame:
-    return R.shared_view(_records(spark, root), _latest(spark, root)).select("record_id", "doc_id", "doc_type", "group_key", "pub_date", "venue", "extraction_class", "judge_verdict")
+    return R.shared_view(_records(spark, root), _latest(spark, root, *VIEW_COLUMNS)).select("record_id", "doc_id", "doc_type", "group_key", "pub_date", "venue", "extraction_class", "judge_verdict")
 
 
 def best_aligned(spark: SparkSession, root: str) -> DataFrame:
@@ -58,7 +58,7 @@ def thin_attributes(spark: SparkSession, root: str) -> DataFrame:
 
 
 def gold_availability(spark: SparkSession, root: str) -> DataFrame:
-    g = R.gold_table(_records(spark, root), _latest(spark, root), "data_availability", NAMES["data_availability"])
+    g = R.gold_table(_records(spark, root), _latest(spark, root, *VIEW_COLUMNS), "data_availability", NAMES["data_availability"])
     return g.select("record_id", "doc_id", "doc_type", "accession", "repository", "access_tier", "direction", "statement_kind", "canonical_repository", "source_section", "enum_drift", "run_id")
 
 

@@ -21,19 +21,26 @@ def squeezed_abstracts(spark: SparkSession, root: str) -> DataFrame:
     return p.select("row_id", squeeze(F.col("abstract")).alias("abstract"), title_form(F.col("title")).alias("form"), doi_prefix(F.col("doi")).alias("prefix"), year_of(F.col("pub_date")).alias("year"))
 
 
-def _latest(spark: SparkSession, root: str) -> DataFrame:
-    """One row per doc_id: a full-text one before others, then the smallest row."""
-    p = table(spark, root, "publications")
+#: What the shared view needs of a document.
+VIEW_COLUMNS = ("doc_type", "group_key", "pub_date", "venue", "author_overlap")
+
+
+def _latest(spark: SparkSession, root: str, *columns: str) -> DataFrame:
+    """One row per doc_id with the given columns: a full-text one before others, then the smallest row.
+
+    The columns are chosen before the aggregate, so the scan reads no others.
+    """
+    p = table(spark, root, "publications").select("doc_id", "row_id", "oa_status", *columns)
     full = F.coalesce((F.col("oa_status") == "fulltext").cast("int"), F.lit(0))
     return K.keep_best(p, "doc_id", [-full, F.col("row_id")])
 
 
 def keep_best_row(spark: SparkSession, root: str) -> DataFrame:
-    return _latest(spark, root).select("doc_id", "row_id", "oa_status", "title")
+    return _latest(spark, root, "title")
 
 
 def _works(spark: SparkSession, root: str) -> DataFrame:
-    p = _latest(spark, root)
+    p = _latest(spark, root, "title", "doi", "author_ids", "is_preprint")
     return p.select("doc_id", "row_id", "title", "doi", F.get(F.col("author_ids"), F.lit(0)).alias("first_author_surname"), F.coalesce("author_ids", F.array().cast("array<string>")).alias("author_ids"), F.coalesce("is_preprint", F.lit(False)).alias("preprint"))
 
 
@@ -44,7 +51,7 @@ def preprint_collapse(spark: SparkSession, root: str) -> DataFrame:
 
 
 def author_overlap(spark: SparkSession, root: str) -> DataFrame:
-    p = _latest(spark, root)
+    p = _latest(spark, root, "doc_type", "author_ids")
     ends = F.array_distinct(F.array_compact(F.array(F.get(F.col("author_ids"), F.lit(0)), F.get(F.col("author_ids"), F.size("author_ids") - 1))))
     citing = p.where("doc_type = 'citing'").select("doc_id", "author_ids", F.when(F.size("author_ids") > 0, ends).alias("first_last_author_ids"))
     out = K.author_overlap(citing, p.where("doc_type = 'corpus'").select("doc_id", "author_ids"))
@@ -76,7 +83,7 @@ def seed_centres(spark: SparkSession, root: str) -> DataFrame:
 
 def reach(spark: SparkSession, root: str) -> DataFrame:
     """Documents by type and status, with totals per type (rollup)."""
-    p = _latest(spark, root)
+    p = _latest(spark, root, "doc_type")
     r = p.rollup("doc_type", "oa_status").agg(F.count(F.lit(1)).alias("n"), F.grouping("oa_status").alias("is_total"))
     return r.where("doc_type IS NOT NULL").select("doc_type", "oa_status", "n", F.col("is_total").cast("int").alias("is_total"))
 
