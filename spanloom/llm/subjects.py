@@ -68,19 +68,53 @@ def _stem(word: str) -> str:
     return word[:-1] if len(word) > 5 else word
 
 
-def terms(text: str | None, stems: dict[str, int]) -> tuple[list[list[int]], list[int], list[list[int]]]:
-    """Per sentence: its terms, the vote of the descriptions (-1: abstains), its addresses."""
-    units = sentences(text)
-    split = [[w.lower() for w in _WORD.findall(s)] for s in units]
-    lang = language(Counter(w for ws in split for w in ws))
-    base = lang << 32
-    ids = [[base | crc32(w.encode()) for w in dict.fromkeys(ws) if len(w) > 2] for ws in split]
-    votes = []
-    for ws in split:
-        hits = Counter(stems[x] for x in {y for w in ws for y in (w, _stem(w))} if x in stems).most_common(2)
-        votes.append(hits[0][0] if hits and (len(hits) == 1 or hits[0][1] > hits[1][1]) else -1)
-    hosts = [[1 << 40 | crc32(h.lower().encode()) for h in _ADDRESS.findall(s)] for s in units]
-    return ids, votes, hosts
+class Reader:
+    """Texts to terms; remembers, within a bound, what it has made of a word."""
+
+    def __init__(self, stems: dict[str, int]) -> None:
+        self.stems = stems
+        self.known: dict[str, tuple[int, frozenset]] = {}
+
+    def word(self, w: str) -> tuple[int, frozenset]:
+        """The word's code (-1 for short words) and the description stems it hits."""
+        if len(self.known) >= _FLUSH:
+            self.known.clear()
+        out = self.known[w] = (crc32(w.encode()) if len(w) > 2 else -1, frozenset(x for x in (w, _stem(w)) if x in self.stems))
+        return out
+
+    def terms(self, text: str | None) -> tuple[list[list[int]], list[int], list[list[int]]]:
+        """Per sentence: its terms, the vote of the descriptions (-1: abstains), its addresses."""
+        units = sentences(text)
+        split = [_WORD.findall(s.lower()) for s in units]
+        base = language(Counter(w for ws in split for w in ws)) << 32
+        known, word = self.known, self.word
+        ids, votes = [], []
+        for ws in split:
+            made = [known.get(w) or word(w) for w in dict.fromkeys(ws)]
+            ids.append([base | code for code, _ in made if code >= 0])
+            hit = {x for _, stems in made if stems for x in stems}
+            hits = Counter(self.stems[x] for x in hit).most_common(2) if hit else ()
+            votes.append(hits[0][0] if hits and (len(hits) == 1 or hits[0][1] > hits[1][1]) else -1)
+        hosts = [[1 << 40 | crc32(h.lower().encode()) for h in _ADDRESS.findall(s)] for s in units]
+        return ids, votes, hosts
+
+
+class Terms:
+    """Lists of terms as one array and the list each term is in."""
+
+    def __init__(self, flat: np.ndarray, lengths: np.ndarray) -> None:
+        self.flat, self.lengths = flat, lengths
+        self.of = np.repeat(np.arange(len(lengths)), lengths)
+
+    @classmethod
+    def of_lists(cls, lists: list[list[int]]) -> Terms:
+        return cls(np.fromiter((x for ts in lists for x in ts), np.int64), np.array([len(ts) for ts in lists], np.int64))
+
+    @classmethod
+    def of_column(cls, column: pa.Array) -> Terms:
+        """The sentences of all documents of a column of lists of lists."""
+        inner = column.flatten()
+        return cls(inner.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.asarray(inner.value_lengths().to_numpy(zero_copy_only=False), np.int64))
 
 
 def _weights(count: np.ndarray, total: np.ndarray) -> np.ndarray:
@@ -102,28 +136,29 @@ class Lexicon:
             own = self.keys >> 32 == lang
             self.weight[own] = _weights(count[own], count[own].sum(0))
 
-    def scores(self, lists: list[list[int]], classes: int) -> np.ndarray:
+    def scores(self, terms: Terms, classes: int) -> np.ndarray:
         """Summed weights of each list of terms."""
-        out = np.zeros((len(lists), classes))
-        flat = np.fromiter((x for ts in lists for x in ts), np.int64)
-        if len(flat) and len(self.keys):
-            at = np.minimum(np.searchsorted(self.keys, flat), len(self.keys) - 1)
-            known = self.keys[at] == flat
-            np.add.at(out, np.repeat(np.arange(len(lists)), [len(ts) for ts in lists])[known], self.weight[at[known]])
+        out = np.zeros((len(terms.lengths), classes))
+        if len(terms.flat) and len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, terms.flat), len(self.keys) - 1)
+            known = self.keys[at] == terms.flat
+            of, at = terms.of[known], at[known]
+            for k in range(classes):
+                out[:, k] = np.bincount(of, self.weight[at, k], len(out))
         return out
 
 
 def _soft(scores: np.ndarray) -> np.ndarray:
-    e = np.exp(scores - scores.max(1, keepdims=True))
+    e = np.exp(scores - scores.max(1, keepdims=True)) if len(scores) else scores
     return e / e.sum(1, keepdims=True)
 
 
-def _count(lists: list[list[int]], share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _count(terms: Terms, share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct terms of the lists and the sums of their sentences' shares."""
-    flat = np.fromiter((x for ts in lists for x in ts), np.int64)
-    keys, inverse = np.unique(flat, return_inverse=True)
+    keys, inverse = np.unique(terms.flat, return_inverse=True)
     out = np.zeros((len(keys), share.shape[1]))
-    np.add.at(out, inverse, share[np.repeat(np.arange(len(lists)), [len(ts) for ts in lists])])
+    for k in range(share.shape[1]):
+        out[:, k] = np.bincount(inverse, share[terms.of, k], len(keys))
     return keys, out
 
 
@@ -133,8 +168,9 @@ def tokenised(documents: DataFrame, stems: dict[str, int]) -> DataFrame:
     names = ["doc_id", "source", "section", "terms", "described", "hosts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        read = Reader(stems).terms
         for batch in batches:
-            made = [terms(t, stems) for t in batch.column("text").to_pylist()]
+            made = [read(t) for t in batch.column("text").to_pylist()]
             columns = [batch.column(0), batch.column(1), batch.column(2), *([m[k] for m in made] for k in range(3))]
             yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
@@ -156,7 +192,7 @@ def _seed_lexicon(sample: list, classes: int) -> Lexicon:
             prior.append(np.log(p / p.sum()))
     if not lists:
         return Lexicon(np.zeros(0, np.int64), np.zeros((0, classes)))
-    prior = np.array(prior)
+    prior, lists = np.array(prior), Terms.of_lists(lists)
     share = _soft(prior)
     for _ in range(SEED_ROUNDS):
         lexicon = Lexicon(*_count(lists, share))
@@ -181,8 +217,8 @@ def _corpus_lexicon(docs: DataFrame, column: str, lexicon: Lexicon, classes: int
             return pa.RecordBatch.from_arrays([keys, *(pa.array(table[:, k], pa.float64()) for k in range(classes))], ["term", *names])
 
         for batch in batches:
-            words = [ts for doc in batch.column(0).to_pylist() for ts in doc]
-            target = words if column == "terms" else [ts for doc in batch.column(1).to_pylist() for ts in doc]
+            words = Terms.of_column(batch.column(0))
+            target = words if column == "terms" else Terms.of_column(batch.column(1))
             share = _soft(own.scores(words, classes) + np.log(np.array([0.8 / (classes - 1)] * (classes - 1) + [0.2])))
             keys, counts = _count(target, share)
             for key, c in zip(keys.tolist(), counts):
@@ -267,30 +303,30 @@ def assign(documents: DataFrame, areas: DataFrame, labels: DataFrame, share: flo
     by_section, by_source = (_group_votes(docs, c, labelled) for c in ("section", "source"))
     shared = docs.sparkSession.sparkContext.broadcast((lexicon.keys, lexicon.weight, hosts.keys, hosts.weight, by_section, by_source))
 
-    def votes(batch: pa.RecordBatch) -> tuple[list[int], np.ndarray]:
+    def votes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         """The sentences' documents (by their place in the batch) and votes."""
         words, found = (Lexicon(np.zeros(0, np.int64), np.zeros((0, classes))) for _ in range(2))
         words.keys, words.weight, found.keys, found.weight, section, source = shared.value
-        nested = {c: batch.column(c).to_pylist() for c in ("terms", "hosts", "described", "section", "source")}
-        place = [i for i, doc in enumerate(nested["terms"]) for _ in doc]
+        place = np.repeat(np.arange(batch.num_rows), batch.column("terms").value_lengths().to_numpy(zero_copy_only=False))
         out = np.full((len(place), 6), -1, np.int64)
         for j, (lex, column) in enumerate(((words, "terms"), (found, "hosts"))):
-            score = lex.scores([ts for doc in nested[column] for ts in doc], classes)
+            units = Terms.of_column(batch.column(column))
+            score = lex.scores(units, classes)
             if len(score):
                 two = np.sort(score, 1)[:, -2:]
-                margin = np.where([j == 1 or len(ts) >= _LEAST_TERMS for doc in nested[column] for ts in doc], two[:, 1] - two[:, 0], 0.0)
+                margin = np.where(units.lengths >= (_LEAST_TERMS if j == 0 else 1), two[:, 1] - two[:, 0], 0.0)
                 out[:, 2 * j] = np.where(margin > (_SURE if j == 0 else _UNSURE), score.argmax(1), -1)
                 if j == 0:
                     out[:, 5] = np.where((margin > _UNSURE) & (margin <= _SURE), score.argmax(1), -1)
-        out[:, 1] = [v for doc in nested["described"] for v in doc]
-        out[:, 3] = [section.get(nested["section"][i], -1) for i in place]
-        out[:, 4] = [source.get(nested["source"][i], -1) for i in place]
+        out[:, 1] = batch.column("described").flatten().to_numpy(zero_copy_only=False)
+        for j, (votes_of, column) in ((3, (section, "section")), (4, (source, "source"))):
+            out[:, j] = np.array([votes_of.get(x, -1) for x in batch.column(column).to_pylist()], np.int64)[place]
         return place, out
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen = Counter(map(tuple, votes(batch)[1].tolist()))
-            yield pa.RecordBatch.from_arrays([pa.array([list(k) for k in seen], pa.list_(pa.int64())), pa.array(list(seen.values()), pa.int64())], ["votes", "n"])
+            cast, n = np.unique(votes(batch)[1], axis=0, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(cast.tolist(), pa.list_(pa.int64())), pa.array(n, pa.int64())], ["votes", "n"])
 
     seen = docs.mapInArrow(count, "votes array<long>, n long").groupBy("votes").agg(F.sum("n").alias("n")).orderBy("votes").collect()
     patterns = np.array([r["votes"] for r in seen], np.int64).reshape(-1, 6)
@@ -301,7 +337,7 @@ def assign(documents: DataFrame, areas: DataFrame, labels: DataFrame, share: flo
             place, cast = votes(batch)
             best = posterior(cast, prior, accuracy).argmax(1) if len(place) else np.zeros(0, int)
             best[(cast[:, [0, 1, 2, 5]] < 0).all(1)] = classes - 1
-            of, size = Counter(zip(place, best.tolist())), Counter(place)
+            of, size = Counter(zip(place.tolist(), best.tolist())), Counter(place.tolist())
             ids = batch.column("doc_id").to_pylist()
             made = [(ids[i], subjects[k], size[i], n) for (i, k), n in of.items() if k < classes - 1 and n >= share * size[i] - 1e-9]
             columns = list(zip(*made)) if made else [[], [], [], []]
