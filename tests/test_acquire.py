@@ -57,3 +57,16 @@ def test_config_and_report(spark, tmp_path, monkeypatch):
         key_of("SPANLOOM_TEST_KEY")
     text = render("R", {"a": spark.createDataFrame([(1, None)], "n int, x string"), "b": spark.range(200)}, {"a": "none"})
     assert "| 1 |  |" in text and "Filter: none" in text and "(more than 100 rows)" in text
+
+
+def test_packages(spark, tmp_path):
+    import zipfile
+
+    from spanloom.sources.packages import read_packages
+
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("content/1.xml", "<article/>")
+        z.writestr("content/1.png", "x")
+    (tmp_path / "b.zip").write_bytes(b"not a package")
+    got = {(r.path.rsplit("/", 1)[-1], r.entry, bytes(r.content) if r.content else None, r.error is None) for r in read_packages(spark, str(tmp_path)).collect()}
+    assert got == {("a.zip", "content/1.xml", b"<article/>", True), ("b.zip", None, None, False)}
