@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
@@ -193,7 +194,9 @@ def _names(reference: DataFrame) -> DataFrame:
     return reference.select("value_set", "canonical_id", F.explode(F.array_compact(F.array_append(F.coalesce("known_as", F.array().cast("array<string>")), F.col("canonical_form")))).alias("name")).distinct()
 
 
-def _indexes(rows: list[tuple[str, int, str]]) -> dict[str, Index]:
+@lru_cache(maxsize=2)
+def _indexes(rows: tuple[tuple[str, int, str], ...]) -> dict[str, Index]:
+    """The trees of a list, built once per worker."""
     by: dict[str, list[tuple[int, str]]] = {}
     for value_set, number, name in sorted(rows):
         by.setdefault(value_set, []).append((number, name))
@@ -216,11 +219,11 @@ def map_values(values: DataFrame, reference: DataFrame, shards: int | None = Non
         shards = 0 if n <= BROADCAST_ENTRIES else -(-n // BROADCAST_ENTRIES)
     if shards:
         return _map_sharded(values, names, shards)
-    rows = values.sparkSession.sparkContext.broadcast([tuple(r) for r in names.collect()])
-    columns, local = values.columns, {}
+    rows = values.sparkSession.sparkContext.broadcast(tuple(sorted(tuple(r) for r in names.collect())))
+    columns = values.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = local.setdefault("index", None) or _indexes(rows.value)
+        index = _indexes(rows.value)
         for batch in batches:
             sets, typed = (batch.column(columns.index(c)).to_pylist() for c in ("value_set", "value"))
             ids = [index[s].best(v)[2] if v is not None and s in index else 0 for s, v in zip(sets, typed)]
@@ -238,7 +241,7 @@ def _map_sharded(values: DataFrame, names: DataFrame, shards: int) -> DataFrame:
     held = names.withColumn("shard", shard).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(15).cast("long"))))
 
     def meet(query: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
-        index = _indexes(list(entry[["value_set", "canonical_id", "name"]].itertuples(index=False, name=None)))
+        index = _indexes(tuple(entry[["value_set", "canonical_id", "name"]].itertuples(index=False, name=None)))
         best = [index[s].best(v) if s in index else Index.NONE for s, v in zip(query["value_set"], query["value"])]
         return query[["value_set", "value"]].assign(rank=[b[0] for b in best], far=[b[1] for b in best], canonical_id=[b[2] for b in best])
 
