@@ -2,8 +2,8 @@
 
 Three parts, each without a hot task:
 
-* **Groups.** Rows are folded by work key (one compact state per key), the links told by ``merged_from`` are closed by
-  :func:`spanloom.llm.components.components`, and the states are merged per component.
+* **Groups.** The links told by ``merged_from`` are closed by :func:`spanloom.llm.components.components`; rows take the component of
+  their work, and everything per group is an aggregate whose states are combined in each task before they are shuffled.
 * **Survivor.** The stored order (not a preprint, best availability, highest version, latest snapshot, smallest row) is a
   minimum over a struct, hence an algebraic aggregate with map-side combining.
 * **Fields.** A latent two-sided quality model.  A *source* is the kind of harvest a row came from (preprint flag x
@@ -39,6 +39,7 @@ SINGLE = ["doc_type", "community", "pmid", "pmcid", "doi", "title", "pub_date",
           "group_key", "is_preprint", "abstract"]
 MULTI = ["merged_from", "author_ids", "institution_ids", "shared_author_ids"]
 
+MAX_SENT_LINKS = 200_000  # linked works (two short strings each) that are broadcast
 _ROUNDS = 8
 _BETA = {"sens": (4.0, 1.0), "spec": (9.0, 1.0)}  # prior counts: sources are rather right than wrong
 _PRIOR = 0.5
@@ -141,26 +142,29 @@ def work_components(rows: DataFrame) -> DataFrame:
     return components(told, "_work", "named").withColumnsRenamed({"node": "_work"})
 
 
-def survivors(rows: DataFrame, linked: DataFrame) -> DataFrame:
+def with_component(rows: DataFrame, linked: DataFrame) -> DataFrame:
+    """The rows with their group; a work without links is its own.
+
+    Only linked works are looked up: up to ``MAX_SENT_LINKS`` of them are sent to the rows where they lie, more are joined by
+    work, where adaptive execution splits the rows of a hot one.
+    """
+    side = F.broadcast(linked) if linked.count() <= MAX_SENT_LINKS else linked
+    return rows.join(side, "_work", "left").withColumn("component", F.coalesce("component", "_work"))
+
+
+def survivors(rows: DataFrame) -> DataFrame:
     """(component, group_row, survivor_row, n_rows) for every group, single rows included."""
-    per_work = rows.groupBy("_work").agg(F.min("order").alias("best"), F.min("row_id").alias("least"), F.count(F.lit(1)).alias("n"))
-    per_work = per_work.join(linked, "_work", "left").withColumn("component", F.coalesce("component", "_work"))
-    return per_work.groupBy("component").agg(
-        F.min("least").alias("group_row"), F.min("best")["row"].alias("survivor_row"), F.sum("n").alias("n_rows")
-    )
+    return rows.groupBy("component").agg(F.min("row_id").alias("group_row"), F.min("order")["row"].alias("survivor_row"), F.count(F.lit(1)).alias("n_rows"))
 
 
-def claims(rows: DataFrame, linked: DataFrame) -> DataFrame:
+def claims(rows: DataFrame) -> DataFrame:
     """(component, field, value, source, n, newest): how often each kind of source gives each value of a group.
 
     The null value counts the rows in which the source fills the field at all, whatever the number of values.
     """
-    rows = rows.select("_work", "source", (-F.col("order.day")).alias("day"), F.explode("fields").alias("f"))
-    rows = rows.select("_work", "source", "day", "f.field", F.explode(F.when(F.size("f.values") > 0, F.array_append("f.values", F.lit(None).cast("string")))).alias("value"))
-    # one compact state per (work, field, value, source) before the components are joined
-    rows = rows.groupBy("_work", "field", "value", "source").agg(F.count(F.lit(1)).alias("n"), F.max("day").alias("newest"))
-    rows = rows.join(linked, "_work", "left").withColumn("component", F.coalesce("component", "_work"))
-    return rows.groupBy("component", "field", "value", "source").agg(F.sum("n").alias("n"), F.max("newest").alias("newest"))
+    rows = rows.select("component", "source", (-F.col("order.day")).alias("day"), F.explode("fields").alias("f"))
+    rows = rows.select("component", "source", "day", "f.field", F.explode(F.when(F.size("f.values") > 0, F.array_append("f.values", F.lit(None).cast("string")))).alias("value"))
+    return rows.groupBy("component", "field", "value", "source").agg(F.count(F.lit(1)).alias("n"), F.max("day").alias("newest"))
 
 
 def facts(claimed: DataFrame) -> DataFrame:
@@ -217,8 +221,9 @@ def represent(pubs: DataFrame) -> dict[str, DataFrame]:
     spark = pubs.sparkSession
     rows = prepared(pubs)
     linked = cut(work_components(rows))
-    heads = survivors(rows, linked)
-    fact = cut(facts(claims(rows, linked)))
+    rows = with_component(rows, linked)
+    heads = survivors(rows)
+    fact = cut(facts(claims(rows)))
     quality = source_quality(fact.join(heads.where("n_rows > 1").select("component"), "component", "left_semi"))
     judged = fact.withColumn("posterior", _posterior(quality) if quality else F.lit(_PRIOR))
     rank = F.struct(F.col("posterior"), F.coalesce("newest", F.lit(0)).alias("newest"))
