@@ -3,10 +3,12 @@
 * **Marks.** One scanner knows the marks of the four kinds where they stand as marks; signs in their plain sense
   (comparisons, prices, footnote stars, ``C#``, names with underscores, sets in braces) are not marks.  A text with at
   least one mark carries residue.
-* **Style tree.** The element branches of all texts of one host are merged by their path.  A branch's importance is the
+* **Style tree.** The element branches of all texts of one host are merged by their node: the path with each element's place
+  among its siblings of that name, counted from the first and, as a second node, from the last.  A node's importance is the
   greater of two entropies: of its presentation (how its children vary between pages) and of its content (how its words
-  vary).  Branches that look and read alike on the host's pages (menus, notices) fall below the threshold and are removed
-  from every page before it is converted.  Paths, styles and words are counted in Spark over all pages with elements.
+  vary).  Nodes that look and read alike on the host's pages (menus, notices) fall below the threshold and their branches are
+  removed from every page before it is converted; a page has one branch of a node at most, so what is removed is what was
+  counted.  Nodes, styles and words are counted in Spark over all pages with elements.
 * **Conversion.** Marks go, what they say about structure stays: ``blocks`` lists the headings (with level), list items, code
   and formulas as half-open code point ranges of the clean text.  Formulas keep their notation, code its lines.
 
@@ -134,7 +136,7 @@ def _untag(m: re.Match) -> str:
     return "\n" if parts and (parts[2].lower() in BLOCK or parts[2].lower() in ("br", "hr") or parts[2].lower().endswith(":p")) else ""
 
 def clean(text: str | None, dropped: frozenset[str] = frozenset()) -> tuple[str | None, list[tuple[str, int, int, int]]]:
-    """The clean text and its blocks (kind, level, start, end); ``dropped`` holds the paths of branches to remove."""
+    """The clean text and its blocks (kind, level, start, end); ``dropped`` holds the nodes or paths of branches to remove."""
     if not text or not has_residue(text):
         return text, []
     text = re.sub("[\x02-\x04]", "", text)
@@ -186,12 +188,19 @@ def clean(text: str | None, dropped: frozenset[str] = frozenset()) -> tuple[str
 
 def branches(text: str) -> list[tuple[str, str, int, int]]:
     """Every block element's (path of names with their class or id, children, start, end), in the order of their ends."""
+    return [b[:4] for b in placed_branches(text)]
+
+def placed_branches(text: str) -> list[tuple[str, str, int, int, tuple[str, str]]]:
+    """:func:`branches` with the two nodes of each: every name of the path with its place among the siblings of that name,
+    from the first (``ul>1/li>2``) and from the last (``ul>-1/li>-3``); a class or id cannot hold the sign."""
     stack: list[list] = []
+    opened: list[tuple[int, str, int]] = []  # by order of the starts: number of the parent, name, place
+    siblings: dict[tuple[int, str], int] = {}
     found = []
 
     def close(end: int) -> None:
-        path, start, children = stack.pop()
-        found.append((path, " ".join(children), start, end))
+        path, start, children, number = stack.pop()
+        found.append((path, " ".join(children), start, end, number))
 
     for m in _PARTS.finditer(text):
         name = m[2].lower()
@@ -202,18 +211,25 @@ def branches(text: str) -> list[tuple[str, str, int, int]]:
             label = name + (f".{mark[1]}" if mark else "")
             if stack:
                 stack[-1][2].append(label)
-            stack.append([(stack[-1][0] + "/" if stack else "") + label, m.start(), []])
+            parent = stack[-1][3] if stack else -1
+            siblings[parent, label] = place = siblings.get((parent, label), 0) + 1
+            stack.append([(stack[-1][0] + "/" if stack else "") + label, m.start(), [], len(opened)])
+            opened.append((parent, label, place))
         elif any(x[0].rsplit("/", 1)[-1].split(".")[0] == name for x in stack):
             while stack[-1][0].rsplit("/", 1)[-1].split(".")[0] != name:
                 close(m.start())
             close(m.end())
     while stack:
         close(len(text))
-    return found
+    nodes: list[tuple[str, str]] = []
+    for parent, label, place in opened:
+        first, last = (x + "/" for x in nodes[parent]) if parent >= 0 else ("", "")
+        nodes.append((f"{first}{label}>{place}", f"{last}{label}>{place - siblings[parent, label] - 1}"))
+    return [(*b[:4], nodes[b[4]]) for b in found]
 
 def drop_branches(text: str, paths: frozenset[str]) -> str:
-    """``text`` without the branches of ``paths``."""
-    cuts, out, at = sorted((s, e) for p, _, s, e in branches(text) if p in paths), [], 0
+    """``text`` without the branches of ``paths``: nodes, or paths without places for all their branches."""
+    cuts, out, at = sorted((s, e) for p, _, s, e, nodes in placed_branches(text) if p in paths or not paths.isdisjoint(nodes)), [], 0
     for start, end in cuts:
         if start >= at:
             out.append(text[at:start])
@@ -221,22 +237,23 @@ def drop_branches(text: str, paths: frozenset[str]) -> str:
     return "".join(out) + text[at:]
 
 def noise_paths(marked: DataFrame, threshold: float = 0.15, least_pages: int = 20) -> DataFrame:
-    """(host, paths): branches of low importance per host, from all pages of ``marked`` (host, key, text) with elements.
+    """(host, paths): nodes of low importance per host, from all pages of ``marked`` (host, key, text) with elements.
 
-    With m pages that have a branch, the presentation's importance is the entropy of its children's patterns to base m;
+    With m pages that have a node, the presentation's importance is the entropy of its children's patterns to base m;
     the content's is one less the mean, over its words, of the word's entropy over the pages (ln n / ln m for a word on n
-    of them).  A branch on fewer than ``least_pages`` pages is never noise.
+    of them).  A node on fewer than ``least_pages`` pages is never noise.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(h, p, s, sorted(set(re.findall(r"\w+", _ANY_TAG.sub(" ", t[a:b]).lower()))))
+            rows = [(h, nodes, s, sorted(set(re.findall(r"\w+", _ANY_TAG.sub(" ", t[a:b]).lower()))))
                     for h, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-                    for p, s, a, b in {x[0]: x for x in branches(t)}.values()]
+                    for _, s, a, b, nodes in placed_branches(t)]
             columns = list(zip(*rows)) if rows else [[], [], [], []]
-            kinds = (pa.string(), pa.string(), pa.string(), pa.list_(pa.string()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["host", "path", "style", "words"])
+            kinds = (pa.string(), pa.list_(pa.string()), pa.string(), pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["host", "nodes", "style", "words"])
 
-    seen = cut(marked.where(F.col("text").contains("<")).select("host", "text").mapInArrow(run, "host string, path string, style string, words array<string>"))
+    seen = cut(marked.where(F.col("text").contains("<")).select("host", "text").mapInArrow(run, "host string, nodes array<string>, style string, words array<string>"))
+    seen = seen.select("host", F.explode("nodes").alias("path"), "style", "words")
     styles = seen.groupBy("host", "path", "style").agg(F.count(F.lit(1)).alias("n"))
     look = styles.groupBy("host", "path").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("nln"))
     words = seen.select("host", "path", F.explode("words").alias("word")).groupBy("host", "path", "word").agg(F.count(F.lit(1)).alias("n"))

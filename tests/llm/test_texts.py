@@ -1,4 +1,5 @@
 import random
+import re
 import unicodedata
 
 import pytest
@@ -112,6 +113,20 @@ def test_style_tree_drops_what_is_alike(spark):
     assert M.clean_texts(df.limit(0)).count() == 0
 
 
+def test_siblings_are_told_apart(spark):
+    rng = random.Random(2)
+    words = lambda: " ".join(f"w{rng.randrange(5_000)}" for _ in range(12))
+    own = lambda tag: "".join(f"<{tag}>{words()}</{tag}>" for _ in range(rng.randrange(1, 5)))
+    page = {"last": lambda: own("p") + "<p>All rights reserved</p>", "first": lambda: "<p>All rights reserved</p>" + own("p"),
+            "list": lambda: f"<ul>{own('li')}<li>All rights reserved</li></ul>", "table": lambda: f"<table><tr><td>All rights reserved</td></tr>{own('tr')}</table>",
+            "middle": lambda: f"<p>{words()}</p><p>All rights reserved</p>{own('p')}", "head": lambda: f"<h3>{words()}</h3><p>{words()}</p><h3>All rights reserved</h3>"}
+    rows = [("abstract", f"{h}{i}", h, make()) for h, make in page.items() for i in range(40)]
+    got = {r.row_key: r.clean for r in M.clean_texts(spark.createDataFrame(rows, "field string, row_key string, host string, text string")).collect()}
+    for _, key, _, text in rows:
+        assert "rights" not in got[key]
+        assert re.findall(r"w\d+", got[key]) == re.findall(r"w\d+", text)
+
+
 def test_branches_of_untidy_markup():
     assert [b[0] for b in M.branches("<div><p>a<p>b</div></ul><li>c")] == ["div/p/p", "div/p", "div", "li"]
     assert M.drop_branches("<div>x</div>y<p>z", frozenset(["div", "p"])) == "y"
