@@ -16,7 +16,7 @@ The style tree alone cannot find marks of Markdown, wiki or LaTeX, nor a lone ta
 tree decides only what is dropped from pages.
 
 Defined results.  Null or empty text: no residue, the text as it is, no blocks.  Unclosed or stray marks are removed alone.
-Repeated rows give repeated results.  Null host: the texts without host form one.  Whole texts are scanned.  An empty table
+Repeated rows give repeated results, and the style tree counts pages of the same host and text once.  Null host: the texts without host form one.  Whole texts are scanned.  An empty table
 gives an empty result.
 """
 
@@ -237,7 +237,7 @@ def drop_branches(text: str, paths: frozenset[str]) -> str:
     return "".join(out) + text[at:]
 
 def noise_paths(marked: DataFrame, threshold: float = 0.15, least_pages: int = 20) -> DataFrame:
-    """(host, paths): nodes of low importance per host, from all pages of ``marked`` (host, key, text) with elements.
+    """(host, paths): nodes of low importance per host, from all distinct pages of ``marked`` (host, key, text) with elements.
 
     With m pages that have a node, the presentation's importance is the entropy of its children's patterns to base m;
     the content's is one less the mean, over its words, of the word's entropy over the pages (ln n / ln m for a word on n
@@ -252,7 +252,8 @@ def noise_paths(marked: DataFrame, threshold: float = 0.15, least_pages: int = 2
             kinds = (pa.string(), pa.list_(pa.string()), pa.string(), pa.list_(pa.string()))
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["host", "nodes", "style", "words"])
 
-    seen = cut(marked.where(F.col("text").contains("<")).select("host", "text").mapInArrow(run, "host string, nodes array<string>, style string, words array<string>"))
+    pages = marked.where(F.col("text").contains("<")).select("host", "text").distinct()  # copies of a page are one page
+    seen = cut(pages.mapInArrow(run, "host string, nodes array<string>, style string, words array<string>"))
     seen = seen.select("host", F.explode("nodes").alias("path"), "style", "words")
     styles = seen.groupBy("host", "path", "style").agg(F.count(F.lit(1)).alias("n"))
     look = styles.groupBy("host", "path").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("nln"))

@@ -127,6 +127,14 @@ def test_siblings_are_told_apart(spark):
         assert re.findall(r"w\d+", got[key]) == re.findall(r"w\d+", text)
 
 
+@pytest.mark.parametrize("copies", [25, 2_000])
+def test_copies_of_a_page_are_one_page(spark, copies):
+    copy, other = "<div><p>One abstract in many rows</p></div>", [f"<ul><li>list {i} of {i * i}</li></ul>" for i in range(5)]
+    rows = [("abstract", str(i), "h", copy) for i in range(copies)] + [("abstract", f"o{i}", "h", t) for i, t in enumerate(other)]
+    got = M.clean_texts(spark.createDataFrame(rows, "field string, row_key string, host string, text string")).collect()
+    assert sorted(r.clean for r in got) == sorted(["One abstract in many rows"] * copies + [f"list {i} of {i * i}" for i in range(5)])
+
+
 def test_branches_of_untidy_markup():
     assert [b[0] for b in M.branches("<div><p>a<p>b</div></ul><li>c")] == ["div/p/p", "div/p", "div", "li"]
     assert M.drop_branches("<div>x</div>y<p>z", frozenset(["div", "p"])) == "y"
