@@ -9,7 +9,8 @@ The lexicon starts from hand-labelled documents (a bounded sample, ``MAX_LABELLE
 prior, not a truth, as some are wrong) and is then re-estimated ``ROUNDS`` times over the sentences of **all** documents, each sentence
 counting with its class probabilities.  Partial counts are combined per task before they are shuffled.  What reaches the driver
 is bounded by parameters: the labelled sample, the ``MAX_TERMS`` most frequent terms of the model, one row per source and section
-(the ``MAX_GROUPS`` most frequent), and vote patterns, at most 11^6 and in practice a few hundred.
+(the ``MAX_GROUPS`` most frequent), and vote patterns, at most 11^6 and in practice a few hundred.  The rarer terms of a larger
+model stay in a table and are joined to the documents that have them; as the frequent ones are not, no key of that join is hot.
 
 Defined results.  Null, empty and blank texts and texts without words: no subject.  Repeated documents give one row per subject.
 Labels in other spellings count, unknown ones do not; a null label says that none was seen.  Without any labels only the
@@ -126,15 +127,33 @@ def _weights(count: np.ndarray, total: np.ndarray) -> np.ndarray:
 
 
 class Lexicon:
-    """Terms and their weights by class."""
+    """Terms and their weights by class; ``rest`` (term, weight) has those that are too many to be held."""
 
-    def __init__(self, keys: np.ndarray, count: np.ndarray) -> None:
+    rest: DataFrame | None = None
+
+    def __init__(self, keys: np.ndarray, count: np.ndarray, totals: dict[int, np.ndarray] | None = None) -> None:
+        """``totals``: the counts of all terms by language, if ``keys`` are not all."""
         order = np.argsort(keys)
         self.keys, count = keys[order], count[order]
         self.weight = np.zeros_like(count)
         for lang in np.unique(self.keys >> 32):
             own = self.keys >> 32 == lang
-            self.weight[own] = _weights(count[own], count[own].sum(0))
+            self.weight[own] = _weights(count[own], count[own].sum(0) if totals is None else totals[int(lang)])
+
+    @classmethod
+    def of_weights(cls, keys: np.ndarray, weight: np.ndarray) -> Lexicon:
+        """``keys`` in their order and their weights."""
+        out = cls(np.zeros(0, np.int64), np.zeros((0, weight.shape[1])))
+        out.keys, out.weight = keys, weight
+        return out
+
+    @classmethod
+    def of_rest(cls, batch: pa.RecordBatch, column: str, classes: int) -> Lexicon:
+        """The joined rarer terms of a batch's documents."""
+        keys = batch.column(f"{column}_rest").flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        weight = batch.column(f"{column}_weights").flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, classes)
+        keys, at = np.unique(keys, return_index=True)
+        return cls.of_weights(keys, weight[at])
 
     def scores(self, terms: Terms, classes: int) -> np.ndarray:
         """Summed weights of each list of terms."""
@@ -176,7 +195,29 @@ def tokenised(documents: DataFrame, stems: dict[str, int]) -> DataFrame:
 
     out = documents.select("doc_id", "source", "section", "text").mapInArrow(
         run, "doc_id long, source string, section string, terms array<array<long>>, described array<int>, hosts array<array<long>>")
-    return cut(out.where(F.size("terms") > 0))
+    return cut(out.where(F.size("terms") > 0).withColumn("row", F.monotonically_increasing_id()))
+
+
+def _with_rest(docs: DataFrame, column: str, lexicon: Lexicon) -> DataFrame:
+    """``docs`` plus the terms of ``column`` that only the lexicon's rest has, and their weights, term by term."""
+    names = [f"{column}_rest", f"{column}_weights"]
+    if lexicon.rest is None:
+        return docs.withColumns({n: F.lit(None).cast(f"array<{k}>") for n, k in zip(names, ("long", "double"))})
+    shared = docs.sparkSession.sparkContext.broadcast(lexicon.keys)
+
+    def rarer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            terms = Terms.of_column(batch.column(1))
+            place = np.repeat(np.arange(batch.num_rows), batch.column(1).value_lengths().to_numpy(zero_copy_only=False))[terms.of]
+            rare = ~np.isin(terms.flat, shared.value)
+            pairs = np.unique(np.stack([place[rare], terms.flat[rare]], 1), axis=0)
+            rows = batch.column(0).to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([pa.array(rows[pairs[:, 0]], pa.int64()), pa.array(pairs[:, 1], pa.int64())], ["row", "term"])
+
+    met = docs.select("row", column).mapInArrow(rarer, "row long, term long").join(lexicon.rest, "term")
+    met = met.groupBy("row").agg(F.collect_list(F.struct("term", "weight")).alias("met"))
+    met = met.select("row", F.col("met.term").alias(names[0]), F.flatten("met.weight").alias(names[1]))
+    return docs.join(met, "row", "left")
 
 
 def _seed_lexicon(sample: list, classes: int) -> Lexicon:
@@ -201,13 +242,15 @@ def _seed_lexicon(sample: list, classes: int) -> Lexicon:
 
 
 def _corpus_lexicon(docs: DataFrame, column: str, lexicon: Lexicon, classes: int) -> Lexicon:
-    """The lexicon of ``column`` re-estimated over all sentences, each counting with its class probabilities."""
+    """The lexicon of ``column`` re-estimated over all sentences, each counting with its class probabilities.
+
+    The ``MAX_TERMS`` heaviest terms are held, the others are its rest.
+    """
     shared = docs.sparkSession.sparkContext.broadcast((lexicon.keys, lexicon.weight))
     names = [f"c{k}" for k in range(classes)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Lexicon(np.zeros(0, np.int64), np.zeros((0, classes)))
-        own.keys, own.weight = shared.value
+        own = Lexicon.of_weights(*shared.value)
         held: dict[int, np.ndarray] = {}
 
         def states() -> pa.RecordBatch:
@@ -219,7 +262,8 @@ def _corpus_lexicon(docs: DataFrame, column: str, lexicon: Lexicon, classes: int
         for batch in batches:
             words = Terms.of_column(batch.column(0))
             target = words if column == "terms" else Terms.of_column(batch.column(1))
-            share = _soft(own.scores(words, classes) + np.log(np.array([0.8 / (classes - 1)] * (classes - 1) + [0.2])))
+            rest = Lexicon.of_rest(batch, "terms", classes)
+            share = _soft(own.scores(words, classes) + rest.scores(words, classes) + np.log(np.array([0.8 / (classes - 1)] * (classes - 1) + [0.2])))
             keys, counts = _count(target, share)
             for key, c in zip(keys.tolist(), counts):
                 have = held.get(key)
@@ -228,11 +272,27 @@ def _corpus_lexicon(docs: DataFrame, column: str, lexicon: Lexicon, classes: int
                 yield states()
         yield states()
 
-    partial = docs.select("terms", "hosts").mapInArrow(run, "term long, " + ", ".join(f"{n} double" for n in names))
+    partial = _with_rest(docs, "terms", lexicon).select("terms", "hosts", "terms_rest", "terms_weights").mapInArrow(run, "term long, " + ", ".join(f"{n} double" for n in names))
     total = sum((F.col(n) for n in names), F.lit(0.0))
-    counts = partial.groupBy("term").agg(*[F.sum(n).alias(n) for n in names]).where(total >= LEAST_COUNT)
+    counts = cut(partial.groupBy("term").agg(*[F.sum(n).alias(n) for n in names]).where(total >= LEAST_COUNT))
     rows = counts.orderBy(total.desc(), "term").limit(MAX_TERMS).toPandas()
-    return Lexicon(rows["term"].to_numpy(np.int64), rows[names].to_numpy(float))
+    keys, count = rows["term"].to_numpy(np.int64), rows[names].to_numpy(float)
+    if counts.count() <= len(keys):
+        return Lexicon(keys, count)
+    by = counts.groupBy(F.shiftright("term", 32).alias("lang")).agg(*[F.sum(n).alias(n) for n in names]).collect()
+    totals = {r["lang"]: np.array([r[n] for n in names]) for r in by}
+    out = Lexicon(keys, count, totals)
+    large = docs.sparkSession.sparkContext.broadcast(out.keys)
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            term = batch.column(0).to_numpy(zero_copy_only=False)
+            rare = ~np.isin(term, large.value)
+            made = Lexicon(term[rare], np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[1:]], 1)[rare], totals)
+            yield pa.RecordBatch.from_arrays([pa.array(made.keys, pa.int64()), pa.array(list(made.weight), pa.list_(pa.float64()))], ["term", "weight"])
+
+    out.rest = cut(counts.select("term", *names).mapInArrow(weigh, "term long, weight array<double>"))
+    return out
 
 
 def _group_votes(docs: DataFrame, column: str, labelled: DataFrame) -> dict[str, int]:
@@ -301,17 +361,20 @@ def assign(documents: DataFrame, areas: DataFrame, labels: DataFrame, share: flo
         lexicon = _corpus_lexicon(docs, "terms", lexicon, classes)
     hosts = _corpus_lexicon(docs.where(F.exists("hosts", lambda h: F.size(h) > 0)), "hosts", lexicon, classes)
     by_section, by_source = (_group_votes(docs, c, labelled) for c in ("section", "source"))
+    cast_by = _with_rest(_with_rest(docs, "terms", lexicon), "hosts", hosts)
+    if lexicon.rest is not None or hosts.rest is not None:
+        cast_by = cut(cast_by)  # read twice
     shared = docs.sparkSession.sparkContext.broadcast((lexicon.keys, lexicon.weight, hosts.keys, hosts.weight, by_section, by_source))
 
     def votes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         """The sentences' documents (by their place in the batch) and votes."""
-        words, found = (Lexicon(np.zeros(0, np.int64), np.zeros((0, classes))) for _ in range(2))
-        words.keys, words.weight, found.keys, found.weight, section, source = shared.value
+        section, source = shared.value[4:]
+        words, found = Lexicon.of_weights(*shared.value[:2]), Lexicon.of_weights(*shared.value[2:4])
         place = np.repeat(np.arange(batch.num_rows), batch.column("terms").value_lengths().to_numpy(zero_copy_only=False))
         out = np.full((len(place), 6), -1, np.int64)
         for j, (lex, column) in enumerate(((words, "terms"), (found, "hosts"))):
             units = Terms.of_column(batch.column(column))
-            score = lex.scores(units, classes)
+            score = lex.scores(units, classes) + Lexicon.of_rest(batch, column, classes).scores(units, classes)
             if len(score):
                 two = np.sort(score, 1)[:, -2:]
                 margin = np.where(units.lengths >= (_LEAST_TERMS if j == 0 else 1), two[:, 1] - two[:, 0], 0.0)
@@ -328,7 +391,7 @@ def assign(documents: DataFrame, areas: DataFrame, labels: DataFrame, share: flo
             cast, n = np.unique(votes(batch)[1], axis=0, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(cast.tolist(), pa.list_(pa.int64())), pa.array(n, pa.int64())], ["votes", "n"])
 
-    seen = docs.mapInArrow(count, "votes array<long>, n long").groupBy("votes").agg(F.sum("n").alias("n")).orderBy("votes").collect()
+    seen = cast_by.mapInArrow(count, "votes array<long>, n long").groupBy("votes").agg(F.sum("n").alias("n")).orderBy("votes").collect()
     patterns = np.array([r["votes"] for r in seen], np.int64).reshape(-1, 6)
     prior, accuracy = fit_accuracies(patterns, np.array([r["n"] for r in seen], float), classes)
 
@@ -343,4 +406,4 @@ def assign(documents: DataFrame, areas: DataFrame, labels: DataFrame, share: flo
             columns = list(zip(*made)) if made else [[], [], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.string(), pa.int32(), pa.int32()))], ["doc_id", "subject", "n_sentences", "n_subject"])
 
-    return docs.mapInArrow(decide, out)
+    return cast_by.mapInArrow(decide, out)

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from spanloom.llm import subjects as S
 
@@ -46,6 +47,15 @@ def test_held_out_accuracy(corpus):
     assert not {900, 901, 902, 903, 904, 905, 906} & set(got)  # one sentence of seven is a passing mention
 
 
+@pytest.mark.parametrize("held", [0, 7])
+def test_a_vocabulary_beyond_what_is_held_votes_in_full(spark, corpus, monkeypatch, held):
+    docs, areas, labels, _ = corpus
+    docs = docs.withColumn("text", F.when(F.col("doc_id") < 900, F.concat("text", F.lit(" See https://www."), F.coalesce("source", F.lit("x")), F.lit(".org now."))).otherwise(F.col("text")))
+    whole = sorted(tuple(r) for r in S.assign(docs, areas, labels).collect())
+    monkeypatch.setattr(S, "MAX_TERMS", held)
+    assert sorted(tuple(r) for r in S.assign(docs, areas, labels).collect()) == whole
+
+
 def test_edges(spark, corpus):
     docs, areas, labels, _ = corpus
     assert S.assign(docs.limit(0), areas, labels).count() == 0
