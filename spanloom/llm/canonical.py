@@ -11,8 +11,8 @@ The best distance wins; entries of different ids at the same best distance leave
 and so does a difference in its numbers.
 
 A list of up to ``BROADCAST_ENTRIES`` names is built into one tree per worker and the rows are mapped where they lie,
-without a shuffle (a worker remembers what it has looked up).  A longer list is cut into shards: the distinct values meet each
-shard once and the shards' winners are merged.
+without a shuffle (a worker remembers what it has looked up).  A longer list is cut into shards by id: the distinct
+values meet each shard once, every shard tells what it has for each rule, and the rules are applied once to all of it.
 
 Defined results.  Null, empty and sentinel values (``not_stated``, ``no_statement``) are not looked up.  Blank values and
 values without letters or digits mean none (id 0).  Repeated rows give one row.  Null and repeated names of the list are ignored.
@@ -24,6 +24,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import nlargest
 
 import pandas as pd
 import pyarrow as pa
@@ -36,6 +37,7 @@ BROADCAST_ENTRIES = 100_000
 #: Small numbers in Roman letters, which a list may have in digits.
 ROMAN = ["i", "ii", "iii", "iv", "v", "vi", "vii", "viii", "ix", "x"]
 _REMEMBERED = 200_000
+WHOLE, SHORT, RUN, NEAR, NUMERAL, LONGER = range(6)  # rules in their order; the last is an exception to the third
 _WORD = re.compile(r"[^\W_]+\.?")
 
 
@@ -124,6 +126,27 @@ def _misspells(part: str, word: str) -> bool:
     return part == word or distance(part, word) <= (0 if len(word) < 2 else 1 if len(word) < 4 else 2) < len(part)
 
 
+def decide(hits: list[tuple[int, int, int]]) -> tuple[int, int, int]:
+    """The (rank, distance, id) that the hits of a whole list mean, id 0 for none."""
+    by: dict[int, list[tuple[int, int]]] = {}
+    for rule, size, number in hits:
+        by.setdefault(rule, []).append((size, number))
+    top = {rule: {n for size, n in of if size == max(of)[0]} for rule, of in by.items()}
+    for rule in (WHOLE, SHORT):
+        if len(top.get(rule, ())) == 1:
+            return rule, 0, top[rule].pop()
+    if RUN in by:
+        # a name that contains the run wins over it if it differs in misspelt words only
+        size = max(by[RUN])[0]
+        ids = {n for length, n in by.get(LONGER, ()) if length > size} or top[RUN]
+        return (RUN, -size, ids.pop()) if len(ids) == 1 else Index.NONE
+    if len(top.get(NEAR, ())) == 1:
+        return NEAR, -max(by[NEAR])[0], top[NEAR].pop()
+    if len(top.get(NUMERAL, ())) == 1:
+        return NUMERAL, 0, top[NUMERAL].pop()
+    return Index.NONE
+
+
 class Index:
     """The names of one value set; :meth:`best` gives (rank, distance, id), id 0 for none."""
 
@@ -150,43 +173,51 @@ class Index:
         return out
 
     def _best(self, value: str) -> tuple[int, int, int]:
+        return decide(self.hits(value, alone=True))
+
+    def hits(self, value: str, alone: bool = False) -> list[tuple[int, int, int]]:
+        """(rule, size, id): for each rule the two ids of greatest size, which is enough to tell the best and a tie.
+
+        The size is a run's or longer name's length, or the distance below 0.  ``alone``: this is the whole list, and what
+        an earlier rule has settled needs no later one.  Else an id has all its names here.
+        """
         parts = words(value)
         turns = [parts]
         if len(halves := value.split(",")) == 2:
             turns.append(words(halves[1]) + words(halves[0]))
-        whole = {n for t in turns for n in self.ids.get(_key(t), ())}
-        if len(whole) == 1:
-            return 0, 0, whole.pop()
-        short = {n for n, name in self.names if len(name) == len(parts) and all(map(_abbreviates, parts, name))}
-        if len(short) == 1:
-            return 1, 0, short.pop()
-        runs: dict[int, set[int]] = {}
+        by: dict[int, dict[int, int]] = {rule: {} for rule in (WHOLE, SHORT, RUN, NEAR, NUMERAL, LONGER)}
+
+        def told() -> list[tuple[int, int, int]]:
+            return [(rule, size, n) for rule, of in by.items() for size, n in nlargest(2, ((size, n) for n, size in of.items()))]
+
+        by[WHOLE] = {n: 0 for t in turns for n in self.ids.get(_key(t), ())}
+        if alone and len(by[WHOLE]) == 1:
+            return told()
+        by[SHORT] = {n: 0 for n, name in self.names if len(name) == len(parts) and all(map(_abbreviates, parts, name))}
+        if alone and len(by[SHORT]) == 1:
+            return told()
         for i in range(len(parts)):
             key = ""
             for part in parts[i:]:
                 key += part.rstrip(".")
                 if len(key) > self.longest:
                     break
-                if key in self.ids:
-                    runs.setdefault(len(key), set()).update(self.ids[key])
-        found: dict[int, set[str]] = {}
+                for n in self.ids.get(key, ()):
+                    by[RUN][n] = max(len(key), by[RUN].get(n, 0))
+        sizes: dict[int, int] = {}
         for key in dict.fromkeys(map(_key, turns)):
             digits = re.findall(r"\d", key)
             for d, hit in self.tree.within(key, allowed(len(key) + 1)):
                 if d <= allowed(len(hit)) and re.findall(r"\d", hit) == digits:
-                    found.setdefault(d, set()).add(hit)
-        if runs:
-            # a name that contains the run wins over it if it differs in misspelt words only
-            longer = {n for keys in found.values() for key in keys for n in self.ids[key] if len(key) > max(runs)}
-            longer &= {n for n, name in self.names if len(name) == len(parts) and all(map(_misspells, parts, name))}
-            ids = longer or runs[max(runs)]
-            return (2, -max(runs), ids.pop()) if len(ids) == 1 else self.NONE
-        if found and len(ids := {n for key in found[min(found)] for n in self.ids[key]}) == 1:
-            return 3, min(found), ids.pop()
+                    for n in self.ids[hit]:
+                        by[NEAR][n] = max(-d, by[NEAR].get(n, -d))
+                        sizes[n] = max(len(hit), sizes.get(n, 0))
+        if sizes and (by[RUN] or not alone):
+            by[LONGER] = {n: sizes[n] for n, name in self.names if n in sizes and len(name) == len(parts) and all(map(_misspells, parts, name))}
         roman = ["".join(str(ROMAN.index(p) + 1) if p in ROMAN else p) for p in parts]
-        if roman != parts and len(ids := self.ids.get(_key(roman), set())) == 1:
-            return 4, 0, next(iter(ids))
-        return self.NONE
+        if roman != parts:
+            by[NUMERAL] = dict.fromkeys(self.ids.get(_key(roman), ()), 0)
+        return told()
 
 
 def _names(reference: DataFrame) -> DataFrame:
@@ -233,7 +264,7 @@ def map_values(values: DataFrame, reference: DataFrame, shards: int | None = Non
 
 
 def _map_sharded(values: DataFrame, names: DataFrame, shards: int) -> DataFrame:
-    """Every distinct value meets every shard of the list; the least (rank, distance) over the shards wins."""
+    """Every distinct value meets every shard of the list; the rules are applied to the hits of all shards."""
     shard = F.pmod(F.xxhash64("value_set", "canonical_id"), F.lit(shards))
     asked = values.where("value IS NOT NULL").select("value_set", "value").distinct()
     asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
@@ -242,13 +273,17 @@ def _map_sharded(values: DataFrame, names: DataFrame, shards: int) -> DataFrame:
 
     def meet(query: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
         index = _indexes(tuple(entry[["value_set", "canonical_id", "name"]].itertuples(index=False, name=None)))
-        best = [index[s].best(v) if s in index else Index.NONE for s, v in zip(query["value_set"], query["value"])]
-        return query[["value_set", "value"]].assign(rank=[b[0] for b in best], far=[b[1] for b in best], canonical_id=[b[2] for b in best])
+        hits = [(s, v, *h) for s, v in zip(query["value_set"], query["value"]) if s in index for h in index[s].hits(v)]
+        return pd.DataFrame(hits, columns=["value_set", "value", "rule", "size", "canonical_id"])
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = [decide([(h["rule"], h["size"], h["canonical_id"]) for h in hits])[2] for hits in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.int64())], ["value_set", "value", "canonical_id"])
 
-    met = asked.groupBy("shard", "part").cogroup(held.groupBy("shard", "part")).applyInPandas(meet, "value_set string, value string, rank int, far int, canonical_id long")
-    hits = met.where("canonical_id <> 0").groupBy("value_set", "value", "rank", "far").agg(F.min("canonical_id").alias("low"), F.max("canonical_id").alias("high"))
-    won = hits.groupBy("value_set", "value").agg(F.min(F.struct("rank", "far", "low", "high")).alias("w"))
-    won = won.select("value_set", "value", F.when(F.col("w.low") == F.col("w.high"), F.col("w.low")).otherwise(0).alias("canonical_id"))
+    met = asked.groupBy("shard", "part").cogroup(held.groupBy("shard", "part")).applyInPandas(meet, "value_set string, value string, rule int, size int, canonical_id long")
+    hits = met.groupBy("value_set", "value").agg(F.collect_list(F.struct("rule", "size", "canonical_id")).alias("hits"))
+    won = hits.mapInArrow(settle, "value_set string, value string, canonical_id long")
     return values.join(won, ["value_set", "value"], "left").select(*values.columns, F.coalesce("canonical_id", F.lit(0).cast("long")).alias("canonical_id"))
 
 

@@ -25,6 +25,29 @@ def test_values_and_shards(spark, shards):
     assert got == {(s, v): i for s, v, i in CASES} | {("platform", None): 0}
 
 
+@pytest.mark.parametrize("seed", range(5))
+def test_shards_hits_mean_what_the_whole_list_means(seed):
+    rng = random.Random(seed)
+    names = [(i // 2, " ".join(rng.choice(["orbi", "orbit", "plus", "pls", "station", "7", "2", "lumar"]) for _ in range(rng.randrange(1, 4)))) for i in range(60)]
+    whole, shards = C.Index(names), [C.Index([x for x in names if x[0] % 4 == k]) for k in range(4)]
+    for _ in range(300):
+        value = list(rng.choice(names)[1] + rng.choice(["", " ii", " plus", " orbi", " x"]))
+        for _ in range(rng.randrange(3)):
+            value[rng.randrange(len(value))] = rng.choice("abclo .,7")
+        value = "".join(value)
+        assert C.decide([h for s in shards for h in s.hits(value)]) == whole.best(value), value
+
+
+def test_names_split_across_shards(spark):
+    ref = spark.createDataFrame([("p", i, n, None) for i, n in ((1, "Orbivue 7"), (2, "Orbivue 7 Plus"))] +
+                                [("t", i, n, None) for i, n in ((4, "abcdefgx"), (5, "abcdefgy"), (6, "abcdexyz"))], REF)
+    values = spark.createDataFrame([("p", "orbivue 7 pllus"), ("t", "abcdefgz")], "value_set string, value string")
+    want = sorted(tuple(r) for r in C.map_values(values, ref, 0).collect())
+    assert want == [("p", "orbivue 7 pllus", 2), ("t", "abcdefgz", 0)]
+    for shards in (2, 3, 5):
+        assert sorted(tuple(r) for r in C.map_values(values, ref, shards).collect()) == want
+
+
 def test_typed_and_respelt(spark):
     ref = spark.createDataFrame(ENTRIES, REF)
     rec = spark.createDataFrame([("a", {"platform": "Lumaris 200", "format": "cellmat"}), ("b", {"platform": "", "vendor": None}), ("c", {"platform": "not_stated", "format": "no_statement"}), ("d", None),
