@@ -16,11 +16,11 @@ from spanloom.sources.tables import table
 
 
 def p1_found(spark: SparkSession, root: str) -> DataFrame:
-    return represent(table(spark, root, "publications"))["records"].where("n_rows > 1").select("group_row", "survivor_row")
+    return represent(table(spark, root, "publications"))["groups"].where("n_rows > 1").select("group_row", "survivor_row")
 
 
 def p1_records(spark: SparkSession, root: str) -> DataFrame:
-    return represent(table(spark, root, "publications"))["records"].drop("component")
+    return represent(table(spark, root, "publications"))["records"]
 
 
 def p1_values(spark: SparkSession, root: str) -> DataFrame:
