@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import json
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -60,29 +61,40 @@ _BELIEF_VOTES, _FIELD_VOTES = 20.0, 20.0
 _LEAST, _MOST = 0.02, 0.995
 
 
+def _let(c: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of ``c``, which is computed once however often ``f`` names it (and keeps the generated code small)."""
+    return F.get(F.transform(F.array(c), lambda x: f(x)), F.lit(0))
+
+
 def plain(c: Column) -> Column:
     """Text without format characters, blank ends removed, runs of blanks as one space; null if nothing remains."""
-    tidy = F.octet_length(c) == F.length(c)  # the common case: ASCII with single spaces, told without a pattern
+    narrow = F.octet_length(c) == F.length(c)  # the common case: ASCII with single spaces, told without a pattern
+    tidy = narrow
     for x in ("  ", "\t", "\n", "\x0b", "\f", "\r"):
         tidy = tidy & ~F.contains(c, F.lit(x))
-    slow = F.regexp_replace(F.regexp_replace(c, r"\p{Cf}", ""), r"[\s\p{Z}]+", " ")
-    return F.nullif(F.trim(F.when(tidy, c).otherwise(F.translate(slow, "０１２３４５６７８９", "0123456789"))), F.lit(""))
+    shown = F.when(narrow, c).otherwise(F.translate(F.regexp_replace(c, r"\p{Cf}+", ""), "０１２３４５６７８９", "0123456789"))
+    return F.nullif(F.trim(F.when(tidy, c).otherwise(F.regexp_replace(shown, r"[\s\p{Z}&&[^ ]][\s\p{Z}]*| [\s\p{Z}]+", " "))), F.lit(""))
 
 
 def work_key(c: Column) -> Column:
     """One spelling of a work id: ``W`` and its digits for the usual form (any case, wrapping, path or missing ``W``)."""
-    p = plain(c)
-    digits = F.regexp_extract(p, r"(?i)(?:^|[^0-9a-z])w?\s?([0-9]+)[^0-9a-z]*$", 1)
-    return F.when(digits != "", F.concat(F.lit("W"), digits)).otherwise(F.lower(p))
+    def key(p: Column) -> Column:
+        digits = F.regexp_extract(p, r"(?i)(?:^|[^0-9a-z])w?\s?([0-9]+)[^0-9a-z]*$", 1)
+        return F.when(p.rlike("^W[0-9]+$"), p).otherwise(_let(digits, lambda d: F.when(d != "", F.concat(F.lit("W"), d)).otherwise(F.lower(p))))
+
+    return _let(plain(c), key)
+
+
+def _place(c: Column) -> Column:
+    """The availability's place in the order of trust: the known ones, another, none."""
+    letters = F.regexp_replace(F.lower(c), "[^a-z]", "")
+    place = F.coalesce(F.nullif(F.array_position(F.array(*[F.lit(n.replace("_", "")) for n in AVAILABILITY]), letters), F.lit(0)), F.lit(N_STATUS - 1)).cast("int") - 1
+    return F.when(c.isNull(), F.lit(N_STATUS - 1)).otherwise(place)
 
 
 def status_name(c: Column) -> Column:
     """The availability in its stored spelling; null when it is none of them."""
-    letters = F.regexp_replace(F.lower(c), "[^a-z]", "")
-    out = F.lit(None).cast("string")
-    for name in AVAILABILITY:
-        out = F.when(letters == name.replace("_", ""), F.lit(name)).otherwise(out)
-    return out
+    return F.get(F.array(*map(F.lit, AVAILABILITY)), _place(c))
 
 
 def version_number(c: Column) -> Column:
@@ -92,19 +104,14 @@ def version_number(c: Column) -> Column:
 
 def day_number(c: Column) -> Column:
     """A date in any of the delivered spellings as the integer yyyymmdd; null when it is none."""
-    p = F.lower(plain(c))
-    iso = r"^([0-9]{4})[-/. ]?([0-9]{2})[-/. ]?([0-9]{2})(?![0-9])"
-    part = lambda pattern, k: F.regexp_extract(p, pattern, k)
-    number = lambda s: F.nullif(s, F.lit("")).cast("int")
-    month = F.nullif(F.array_position(F.array(*map(F.lit, MONTHS)), F.regexp_extract(p, r"([a-z]{3})", 1)), F.lit(0)).cast("int")
-    spelt = r"^([0-9]{1,2})\.? [a-z]+\.?,? ([0-9]{4})$"
-    spelt_us = r"^[a-z]+\.? ([0-9]{1,2}),? ([0-9]{4})$"
-    ymd = lambda y, m, d: y * 10_000 + m * 100 + d
-    return F.coalesce(
-        ymd(number(part(iso, 1)), number(part(iso, 2)), number(part(iso, 3))),
-        ymd(number(part(spelt, 2)), month, number(part(spelt, 1))),
-        ymd(number(part(spelt_us, 2)), month, number(part(spelt_us, 1))),
-    )
+    def day(p: Column) -> Column:
+        month = F.nullif(F.array_position(F.array(*map(F.lit, MONTHS)), F.regexp_extract(p, r"([a-z]{3})", 1)), F.lit(0))
+        spelt = F.right(p, F.lit(4)).cast("int") * 10_000 + month * 100 + F.regexp_extract(p, "([0-9]{1,2})", 1).cast("int")
+        named = p.rlike(r"^(?:[0-9]{1,2}\.? [a-z]+\.?,?|[a-z]+\.? [0-9]{1,2},?) [0-9]{4}$")
+        iso = F.regexp_extract(p, r"^[0-9]{4}[-/. ]?[0-9]{2}[-/. ]?[0-9]{2}(?![0-9])", 0)
+        return F.when(named, spelt).otherwise(F.nullif(F.translate(iso, "-/. ", ""), F.lit("")).cast("int")).cast("int")
+
+    return _let(F.lower(plain(c)), day)
 
 
 def _family() -> Column:
@@ -113,11 +120,7 @@ def _family() -> Column:
 
 def _source() -> Column:
     """The row's source by its place in the stored order of trust."""
-    status = status_name(F.col("oa_status"))
-    rank = F.when(F.col("oa_status").isNull(), F.lit(N_STATUS - 1)).otherwise(F.lit(N_STATUS - 2))
-    for k, name in enumerate(AVAILABILITY):
-        rank = F.when(status == name, F.lit(k)).otherwise(rank)
-    return _family() * N_STATUS + rank
+    return _family() * N_STATUS + _place(F.col("oa_status"))
 
 
 def source_name(source: int) -> str:
@@ -127,30 +130,27 @@ def source_name(source: int) -> str:
 def _spelling(field: str, c: Column) -> Column:
     """The form in which values of a field are compared and delivered."""
     if field in MULTI:
-        return F.array_distinct(F.filter(F.transform(c, work_key if field == "merged_from" else plain), lambda x: x.isNotNull()))
+        form = work_key if field == "merged_from" else plain
+        return F.array_distinct(F.array_compact(F.transform(c, lambda x: form(x))))
     if field in ("pub_date", "snapshot_date"):
-        day = F.lpad(day_number(c).cast("string"), 8, "0")
-        return F.regexp_replace(day, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
+        iso = lambda d: F.concat_ws("-", F.substring(d, 1, 4), F.substring(d, 5, 2), F.substring(d, 7, 2))
+        return _let(F.lpad(day_number(c).cast("string"), 8, "0"), lambda d: F.when(d.isNotNull(), iso(d)))
     if field == "oa_status":
         return status_name(c)
     if field == "doi":
         return F.regexp_replace(F.lower(plain(c)), r"^(?:https?://(?:dx\.)?doi\.org/|doi:\s*)", "")
     if field == "source_version":
-        number = version_number(c)
-        return F.coalesce(F.when(number == F.floor(number), F.floor(number).cast("string")).otherwise(number.cast("string")), F.lower(plain(c)))
+        number = _let(version_number(c), lambda n: F.when(n == F.floor(n), F.floor(n).cast("string")).otherwise(n.cast("string")))
+        return F.coalesce(number, F.lower(plain(c)))
     return plain(c.cast("string"))
 
 
-def _hash(c: Column) -> Column:
-    return F.when(c.isNotNull(), F.xxhash64(c))
-
-
 def _key(field: str) -> Column:
     """What a field's value is compared by, null where the row does not fill it; of a list, of all its values."""
     value = _spelling(field, F.col(field))
     if field in MULTI:
-        return F.when(F.size(value) > 0, F.xxhash64(F.array_sort(value)))
-    return _hash(F.lower(value) if field == "title" else value)
+        return _let(value, lambda v: F.when(F.size(v) > 0, F.xxhash64(F.array_sort(v))))
+    return _let(F.lower(value) if field == "title" else value, lambda v: F.when(v.isNotNull(), F.xxhash64(v)))
 
 
 def _work() -> Column:
