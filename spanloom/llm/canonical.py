@@ -4,15 +4,16 @@ A BK-tree holds the entries' keys (their letters and digits in one form) under t
 distance, which is a true metric; the triangle inequality prunes every subtree whose edge differs from the query's
 distance by more than the threshold, so a search returns every entry within it.
 
-A value is looked up, in this order: as it stands (key equal, also of parts turned around a comma); word by word with
-abbreviations; as the longest run of its words that is an entry (what is left is packaging such as a vendor, a version or a
+A value is looked up, in this order: as it stands (key equal, also of parts turned around a comma); as a plural; word by word
+with abbreviations; as the longest run of its words that is an entry (what is left is packaging such as a vendor, a version or a
 legal form), unless the tree has a longer name that differs in misspelt words only; by the tree; with Roman numbers in digits.
 The best distance wins; entries of different ids at the same best distance leave the value unmatched,
 and so does a difference in its numbers.
 
 A list of up to ``BROADCAST_ENTRIES`` names is built into one tree per worker and the rows are mapped where they lie,
 without a shuffle (a worker remembers what it has looked up).  A longer list is cut into shards by id: the distinct
-values meet each shard once, every shard tells what it has for each rule, and the rules are applied once to all of it.
+values, in parts of about ``PART_VALUES``, meet each shard once, every shard tells what it has for each rule, and the rules are
+applied once to all of it, so both ways give the same.
 
 Defined results.  Null, empty and sentinel values (``not_stated``, ``no_statement``) are not looked up.  Blank values and
 values without letters or digits mean none (id 0).  Repeated rows give one row.  Null and repeated names of the list are ignored.
@@ -22,7 +23,7 @@ An empty list leaves everything unmatched; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from heapq import nlargest
 
@@ -31,18 +32,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from spanloom.llm.lookalikes import same_form
+from spanloom.plans.lineage import cut
 
 SENTINELS = ("", "not_stated", "no_statement")
-BROADCAST_ENTRIES = 100_000
+BROADCAST_ENTRIES, PART_VALUES = 100_000, 20_000
 #: Small numbers in Roman letters, which a list may have in digits.
 ROMAN = ["i", "ii", "iii", "iv", "v", "vi", "vii", "viii", "ix", "x"]
 _REMEMBERED = 200_000
-WHOLE, SHORT, RUN, NEAR, NUMERAL, LONGER = range(6)  # rules in their order; the last is an exception to the third
+WHOLE, PLURAL, SHORT, RUN, NEAR, NUMERAL, LONGER = range(7)  # rules in their order; the last is an exception to the run
 _WORD = re.compile(r"[^\W_]+\.?")
 
 
-def distance(a: str, b: str) -> int:
-    """Unrestricted Damerau-Levenshtein distance: insert, delete, replace, swap neighbours; a metric."""
+def distance(a: str, b: str, most: int | None = None) -> int:
+    """Unrestricted Damerau-Levenshtein distance: insert, delete, replace, swap neighbours; a metric.
+
+    With ``most``, any greater figure may come out for a distance above it: no way to the end costs less than a row's
+    least entry, not even a swap across the row, so the rows end there.
+    """
     if a == b:
         return 0
     last: dict[str, int] = {}
@@ -63,35 +69,62 @@ def distance(a: str, b: str) -> int:
             if x == y:
                 seen = j
             row.append(cost)
+        if most is not None and min(row) > most:
+            return most + 1
         rows.append(row)
         last[x] = i
     return rows[-1][-1]
 
 
+def letters(key: str) -> int:
+    """The characters of ``key`` as bits, by class of 61: one for a first, another for a second of a class.
+
+    An edit adds or takes away one character at most, so the bits that only one of two keys has are no more than their distance.
+    """
+    once = twice = 0
+    for c in key:
+        bit = 1 << ord(c) % 61
+        twice |= once & bit
+        once |= bit
+    return once | twice << 61
+
+
 class BKTree:
-    """Keys under :func:`distance`."""
-
-    def __init__(self, keys: Iterator[str]) -> None:
-        self.root: tuple[str, dict] | None = None
-        for key in keys:
-            if self.root is None:
-                self.root = (key, {})
-                continue
-            node = self.root
-            while (d := distance(key, node[0])) and d in node[1]:
-                node = node[1][d]
-            if d:
-                node[1][d] = (key, {})
+    """Keys under :func:`distance`, each below the edge of its distance from its pivot; few keys of an edge stay a list."""
+
+    LEAF = 48
+
+    def __init__(self, keys: Iterable[str]) -> None:
+        self.root = self._grow(list(dict.fromkeys(keys)))
+
+    def _grow(self, keys: list[str]) -> tuple | None:
+        """(pivot, its letters, greatest edge of its subtrees, edge -> subtree, [(edge, key, letters)])."""
+        if not keys:
+            return None
+        edges: dict[int, list[str]] = {}
+        for key in keys[1:]:
+            edges.setdefault(distance(keys[0], key), []).append(key)
+        below = {e: self._grow(ks) for e, ks in edges.items() if len(ks) > self.LEAF}
+        listed = [(e, k, letters(k)) for e, ks in edges.items() if len(ks) <= self.LEAF for k in ks]
+        return keys[0], letters(keys[0]), max(edges, default=0), below, listed
 
     def within(self, query: str, limit: int) -> list[tuple[int, str]]:
         """Every (distance, key) with distance <= limit."""
-        found, todo = [], [self.root] if self.root else []
+        found, todo, own = [], [self.root] if self.root else [], letters(query)
         while todo:
-            key, children = todo.pop()
-            d = distance(query, key)
+            pivot, bits, far, below, listed = todo.pop()
+            if max((own & ~bits).bit_count(), (bits & ~own).bit_count()) > limit + far:
+                continue  # further from the pivot than any key below it could be
+            d = distance(query, pivot, limit + far)
             if d <= limit:
-                found.append((d, key))
-            todo += [child for edge, child in children.items() if d - limit <= edge <= d + limit]
+                found.append((d, pivot))
+            low, high = d - limit, d + limit
+            for edge, key, bits in listed:
+                if low <= edge <= high and (own & ~bits).bit_count() <= limit and (bits & ~own).bit_count() <= limit:
+                    near = distance(query, key, limit)
+                    if near <= limit:
+                        found.append((near, key))
+            todo += [child for edge, child in below.items() if low <= edge <= high]
         return found
 
 
@@ -103,13 +136,17 @@ def allowed(length: int) -> int:
 def words(value: str) -> list[str]:
     """The words of a value in one form; a trailing full stop stays, as it may mark an abbreviation."""
     text = re.sub(r"(?<=\d),(?=\d{3}(?!\d))", "", same_form(value).casefold())
-    return _WORD.findall(text)
+    return _WORD.findall(re.sub(r"(?<=\w)\s?\+(?!\w)", " plus", text))
 
 
 def _key(parts: list[str]) -> str:
     return "".join(parts).replace(".", "")
 
 
+def _digits(key: str) -> str:
+    return "".join(re.findall(r"\d", key))
+
+
 def _abbreviates(part: str, word: str) -> bool:
     """Is ``part`` the word, or cut from it: with a full stop, or as three or more of its consonants?"""
     bare = part.rstrip(".")
@@ -132,7 +169,7 @@ def decide(hits: list[tuple[int, int, int]]) -> tuple[int, int, int]:
     for rule, size, number in hits:
         by.setdefault(rule, []).append((size, number))
     top = {rule: {n for size, n in of if size == max(of)[0]} for rule, of in by.items()}
-    for rule in (WHOLE, SHORT):
+    for rule in (WHOLE, PLURAL, SHORT):
         if len(top.get(rule, ())) == 1:
             return rule, 0, top[rule].pop()
     if RUN in by:
@@ -148,19 +185,29 @@ def decide(hits: list[tuple[int, int, int]]) -> tuple[int, int, int]:
 
 
 class Index:
-    """The names of one value set; :meth:`best` gives (rank, distance, id), id 0 for none."""
+    """The names of one value set; :meth:`best` gives (rank, distance, id), id 0 for none.
+
+    The tree is one for each length and each row of digits: an entry meant has the value's digits, and lengths differ by no
+    more than the distance.  Names are found by the initials of their words (abbreviations) and by their id (misspelt words).
+    """
 
     NONE = (9, 0, 0)
 
     def __init__(self, names: list[tuple[int, str]]) -> None:
         self.ids: dict[str, set[int]] = {}
-        self.names: list[tuple[int, list[str]]] = []
+        self.initials: dict[str, list[tuple[int, list[str]]]] = {}
+        self.named: dict[int, list[list[str]]] = {}
         for number, name in names:
             parts = words(name)
             if parts:
                 self.ids.setdefault(_key(parts), set()).add(number)
-                self.names.append((number, [p.rstrip(".") for p in parts]))
-        self.tree = BKTree(iter(sorted(self.ids)))
+                bare = [p.rstrip(".") for p in parts]
+                self.initials.setdefault("".join(p[0] for p in bare), []).append((number, bare))
+                self.named.setdefault(number, []).append(bare)
+        by: dict[tuple[str, int], list[str]] = {}
+        for key in sorted(self.ids):
+            by.setdefault((_digits(key), len(key)), []).append(key)
+        self.trees = {k: BKTree(keys) for k, keys in by.items()}
         self.longest = max(map(len, self.ids), default=0)
         self.known: dict[str, tuple[int, int, int]] = {}
 
@@ -175,6 +222,14 @@ class Index:
     def _best(self, value: str) -> tuple[int, int, int]:
         return decide(self.hits(value, alone=True))
 
+    def near(self, key: str) -> Iterator[tuple[int, str]]:
+        """Every (distance, key) that may be meant by ``key``."""
+        limit, digits = allowed(len(key) + 1), _digits(key)
+        for length in range(len(key) - limit, len(key) + limit + 1):
+            tree = self.trees.get((digits, length))
+            if tree:
+                yield from ((d, hit) for d, hit in tree.within(key, limit) if d <= allowed(length))
+
     def hits(self, value: str, alone: bool = False) -> list[tuple[int, int, int]]:
         """(rule, size, id): for each rule the two ids of greatest size, which is enough to tell the best and a tie.
 
@@ -185,7 +240,7 @@ class Index:
         turns = [parts]
         if len(halves := value.split(",")) == 2:
             turns.append(words(halves[1]) + words(halves[0]))
-        by: dict[int, dict[int, int]] = {rule: {} for rule in (WHOLE, SHORT, RUN, NEAR, NUMERAL, LONGER)}
+        by: dict[int, dict[int, int]] = {rule: {} for rule in (WHOLE, PLURAL, SHORT, RUN, NEAR, NUMERAL, LONGER)}
 
         def told() -> list[tuple[int, int, int]]:
             return [(rule, size, n) for rule, of in by.items() for size, n in nlargest(2, ((size, n) for n, size in of.items()))]
@@ -193,7 +248,12 @@ class Index:
         by[WHOLE] = {n: 0 for t in turns for n in self.ids.get(_key(t), ())}
         if alone and len(by[WHOLE]) == 1:
             return told()
-        by[SHORT] = {n: 0 for n, name in self.names if len(name) == len(parts) and all(map(_abbreviates, parts, name))}
+        if (whole := _key(parts))[-2:].isalpha() and whole.endswith("s"):
+            by[PLURAL] = dict.fromkeys(self.ids.get(whole[:-1], ()), 0)
+            if alone and len(by[PLURAL]) == 1:
+                return told()
+        initials = "".join(p[0] for p in parts)
+        by[SHORT] = {n: 0 for n, name in self.initials.get(initials, ()) if all(map(_abbreviates, parts, name))}
         if alone and len(by[SHORT]) == 1:
             return told()
         for i in range(len(parts)):
@@ -206,14 +266,12 @@ class Index:
                     by[RUN][n] = max(len(key), by[RUN].get(n, 0))
         sizes: dict[int, int] = {}
         for key in dict.fromkeys(map(_key, turns)):
-            digits = re.findall(r"\d", key)
-            for d, hit in self.tree.within(key, allowed(len(key) + 1)):
-                if d <= allowed(len(hit)) and re.findall(r"\d", hit) == digits:
-                    for n in self.ids[hit]:
-                        by[NEAR][n] = max(-d, by[NEAR].get(n, -d))
-                        sizes[n] = max(len(hit), sizes.get(n, 0))
+            for d, hit in self.near(key):
+                for n in self.ids[hit]:
+                    by[NEAR][n] = max(-d, by[NEAR].get(n, -d))
+                    sizes[n] = max(len(hit), sizes.get(n, 0))
         if sizes and (by[RUN] or not alone):
-            by[LONGER] = {n: sizes[n] for n, name in self.names if n in sizes and len(name) == len(parts) and all(map(_misspells, parts, name))}
+            by[LONGER] = {n: size for n, size in sizes.items() if any(len(name) == len(parts) and all(map(_misspells, parts, name)) for name in self.named[n])}
         roman = ["".join(str(ROMAN.index(p) + 1) if p in ROMAN else p) for p in parts]
         if roman != parts:
             by[NUMERAL] = dict.fromkeys(self.ids.get(_key(roman), ()), 0)
@@ -266,10 +324,11 @@ def map_values(values: DataFrame, reference: DataFrame, shards: int | None = Non
 def _map_sharded(values: DataFrame, names: DataFrame, shards: int) -> DataFrame:
     """Every distinct value meets every shard of the list; the rules are applied to the hits of all shards."""
     shard = F.pmod(F.xxhash64("value_set", "canonical_id"), F.lit(shards))
-    asked = values.where("value IS NOT NULL").select("value_set", "value").distinct()
-    asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
-    asked = asked.withColumn("part", F.pmod(F.xxhash64("value"), F.lit(16)))  # a shard's work is itself spread over 16 tasks
-    held = names.withColumn("shard", shard).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(15).cast("long"))))
+    asked = cut(values.where("value IS NOT NULL").select("value_set", "value").distinct())
+    parts = max(1, -(-asked.count() // PART_VALUES))
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    asked = asked.withColumn("shard", upto(shards)).withColumn("part", F.pmod(F.xxhash64("value"), F.lit(parts)))
+    held = names.withColumn("shard", shard).withColumn("part", upto(parts))
 
     def meet(query: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
         index = _indexes(tuple(entry[["value_set", "canonical_id", "name"]].itertuples(index=False, name=None)))

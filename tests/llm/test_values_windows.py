@@ -12,7 +12,7 @@ ENTRIES = [("platform", 1, "Lumaris 200", ["L200"]), ("platform", 2, "Lumaris 20
            ("format", 11, "Delimited Text", None), ("format", 12, "Delimited Text Gzip", None)]
 REF = "value_set string, canonical_id long, canonical_form string, known_as array<string>"
 CASES = [("platform", "lumaris-200", 1), ("platform", "ＬＵＭＡＲＩＳ 200 system", 1), ("platform", "Lumaris Instruments Lumaris 200X", 2), ("platform", "luvaris 400", 3), ("platform", "L400", 3), ("platform", "200, Lumaris", 1),
-         ("platform", "Lumaris 300", 0), ("platform", "orbivue 7 pllus", 5), ("platform", "Orbivue VII", 4), ("platform", "Palisade Imaging Stn.", 6), ("platform", "wexmoor dial", 0), ("platform", "  ", 0), ("platform", "—", 0),
+         ("platform", "Lumaris 300", 0), ("platform", "orbivue 7 pllus", 5), ("platform", "Orbivue VII", 4), ("platform", "Orbivue VII+", 5), ("platform", "orbivue 7+", 5), ("format", "CellMats", 9), ("format", "CellMat-Zs", 10), ("platform", "Palisade Imaging Stn.", 6), ("platform", "wexmoor dial", 0), ("platform", "  ", 0), ("platform", "—", 0),
          ("vendor", "Kelbourne Bioabs", 7), ("vendor", "kelbourne biologisc", 8), ("format", "CELLMAT (gz)", 9), ("format", "cellmat-z file", 10), ("format", ".cm5", 9), ("format", "Delimited Text Gip", 12),
          ("format", "compressed Delimited Text", 11), ("platform", "Lum\u200baris 20\ufeff0", 1), ("platform", "x" * 5_000, 0), ("other", "CellMat", 0)]
 
@@ -58,6 +58,32 @@ def test_typed_and_respelt(spark):
     assert C.respelt(typed.limit(0), ref).count() == 0
 
 
+def test_shards_agree_on_all_typed_values(spark):
+    from conftest import DATA
+
+    ref = spark.read.parquet(f"{DATA}/canonical_values.parquet")
+    values = C.typed_values(spark.read.parquet(f"{DATA}/records.parquet"), ["platform", "vendor", "repository", "format"]).select("value_set", "value").distinct()
+    want = sorted(tuple(r) for r in C.map_values(values, ref).collect())
+    for shards in (2, 3, 8):
+        assert sorted(tuple(r) for r in C.map_values(values, ref, shards).collect()) == want
+
+
+def test_a_long_list_is_searched_in_time():
+    import time
+
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(rng.randrange(2, 4)))
+    names = [(i, f"{word()} {word()} {rng.choice(['', rng.randrange(9)])}".strip()) for i in range(5_000)]
+    index = C.Index(names)
+    began, missed = time.perf_counter(), 0
+    for _ in range(300):
+        number, name = rng.choice(names)
+        at = rng.randrange(1, len(name) - 2)
+        typo = name[:at] + "z" + name[at:]
+        missed += number not in {n for d, hit in index.near(C._key(C.words(typo))) for n in index.ids[hit]}
+    assert missed == 0 and (time.perf_counter() - began) / 300 < 0.02
+
+
 WORD = st.text("abc", max_size=7)
 
 
@@ -67,11 +93,17 @@ def test_distance_is_a_metric(a, b, c):
     d = C.distance
     assert d(a, b) == d(b, a) and (d(a, b) == 0) == (a == b) and d(a, c) <= d(a, b) + d(b, c)
     assert d("ab", "ba") == 1 and d("ca", "abc") == 2
+    assert all(d(a, b, n) == d(a, b) if d(a, b) <= n else d(a, b, n) > n for n in range(4))
+    assert max((C.letters(a) & ~C.letters(b)).bit_count(), (C.letters(b) & ~C.letters(a)).bit_count()) <= d(a, b)
 
 
 @settings(max_examples=100, deadline=None)
-@given(st.lists(WORD, max_size=20), WORD, st.integers(0, 3))
-def test_tree_equals_a_full_scan(keys, query, limit):
+@given(st.lists(WORD, max_size=40), WORD, st.integers(0, 3), st.integers(0, 5))
+def test_tree_equals_a_full_scan(keys, query, limit, leaf):
+    class Tree(C.BKTree):
+        LEAF = leaf
+
+    assert sorted(set(Tree(iter(keys)).within(query, limit))) == sorted({(d, k) for k in keys if (d := C.distance(query, k)) <= limit})
     assert sorted(set(C.BKTree(iter(keys)).within(query, limit))) == sorted({(d, k) for k in keys if (d := C.distance(query, k)) <= limit})
 
 
