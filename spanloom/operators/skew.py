@@ -21,14 +21,14 @@ def heavy_keys(df: DataFrame, key: str, share: float = 0.01, out_key: str = "hea
     """(out_key, n, n_total) of every non-null key in at least ``share`` of all stored rows.
 
     The total counts rows with a null key and repeated rows; ties at exactly ``share`` are kept; an empty table has no
-    heavy key.  The share is compared in integers, in millionths.  The compact counts are aggregated once more for the total, as a scalar subquery.
+    heavy key.  The share is compared in integers, in millionths.  The compact counts are aggregated once more for the total, a
+    scalar subquery over the same exchange: the null key is left out by its count, as a filter on the key would reach one of the two
+    scans only and the table would be read and shuffled twice.
     """
     counts = key_counts(df, key, out_key)
     total = counts.agg(F.sum("n").alias("n_total")).scalar()
-    return (
-        counts.withColumn("n_total", total)
-        .where(F.col(out_key).isNotNull() & (F.col("n") * 1_000_000 >= F.col("n_total") * round(share * 1_000_000)))
-    )
+    own = F.when(F.col(out_key).isNull(), F.lit(0)).otherwise(F.col("n"))
+    return counts.withColumn("n_total", total).where((own > 0) & (own * 1_000_000 >= F.col("n_total") * round(share * 1_000_000)))
 
 
 def distinct_per_key(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
