@@ -1,6 +1,6 @@
 """Filling containers of fixed capacity (problem 8): first-fit decreasing on a tournament tree, in randomised groups.
 
-Items are hashed into groups of about ``GROUP_ITEMS`` (their number follows from the table's rows), each group is packed
+Items are hashed into groups of about ``GROUP_ITEMS`` (their number follows from the counted items), each group is packed
 by one task, and the loss against packing all at once is at most about one part-filled container a group.  A repeated row is
 an item of its own: equal rows are counted first (map-side combined) and numbered when they are spread, so a row that
 makes up a third of the table still falls evenly into all groups.
@@ -16,6 +16,8 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from spanloom.plans.lineage import cut
+
 CAPACITY = 2048
 GROUP_ITEMS = 20_000
 
@@ -42,13 +44,13 @@ def first_fit_decreasing(sizes: list[int], capacity: int) -> list[int]:
     return bins
 
 
-def pack(sized: DataFrame, id_col: str, size_col: str, n_rows: int, capacity: int = CAPACITY, group_items: int = GROUP_ITEMS, seed: int = 7) -> DataFrame:
+def pack(sized: DataFrame, id_col: str, size_col: str, capacity: int = CAPACITY, group_items: int = GROUP_ITEMS, seed: int = 7) -> DataFrame:
     """(id_col, copy, piece, piece_start, piece_tokens, container) for every piece of every row of ``sized``.
 
-    ``n_rows`` is the table's number of rows (a column-free count) and sets only the number of groups.
+    The counted sizes are written once: the number of groups, the full pieces and the rests are all taken from them.
     """
-    groups = max(1, -(-n_rows // group_items))
-    counted = sized.groupBy(F.col(id_col).alias("_id"), F.col(size_col).cast("int").alias("_size")).agg(F.count(F.lit(1)).alias("_n"))
+    counted = cut(sized.groupBy(F.col(id_col).alias("_id"), F.col(size_col).cast("int").alias("_size")).agg(F.count(F.lit(1)).alias("_n")))
+    groups = max(1, -(-(counted.agg(F.sum("_n")).first()[0] or 0) // group_items))
     items = counted.select("_id", "_size", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)).alias("_copy"))
     last = F.greatest((F.col("_size") / capacity).cast("int") - F.when(F.col("_size") % capacity == 0, 1).otherwise(0), F.lit(0))
     full = (

@@ -90,8 +90,7 @@ def p7_ids(spark: SparkSession, root: str) -> DataFrame:
 
 
 def p8_assigned(spark: SparkSession, root: str) -> DataFrame:
-    docs = table(spark, root, "documents")
-    return pack(encode(docs, "doc_id", "text", counts_only=True), "doc_id", "n_tokens", docs.count())
+    return pack(encode(table(spark, root, "documents"), "doc_id", "text", counts_only=True), "doc_id", "n_tokens")
 
 
 def p8_fill(spark: SparkSession, root: str) -> DataFrame:

@@ -82,7 +82,7 @@ def test_pack(spark):
     rng = random.Random(2)
     rows = [(i, rng.choice([0, 1, 3, 7, 10, 11, 25, 30])) for i in range(400)] + [(7, 4)] * 200 + [(None, 5), (None, 25), (None, 25)]
     df = spark.createDataFrame([(*r, "c") for r in rows], "doc_id long, n int, container string")
-    got = K.pack(df, "doc_id", "n", len(rows), capacity=10, group_items=100).collect()
+    got = K.pack(df, "doc_id", "n", capacity=10, group_items=100).collect()
     used, per = {}, {}
     for r in got:
         used[r.container] = used.get(r.container, 0) + r.piece_tokens
@@ -94,4 +94,4 @@ def test_pack(spark):
     assert sum(used.values()) / (10 * len(used)) > 0.93
     assert sorted(per[7, 199]) == [(0, 0, 4)]
     assert sorted((r.piece, r.piece_tokens) for r in got if r.doc_id is None and r.copy == 1) == [(0, 10), (1, 10), (2, 5)]
-    assert K.pack(df.limit(0), "doc_id", "n", 0).count() == 0
+    assert K.pack(df.limit(0), "doc_id", "n").count() == 0
