@@ -34,7 +34,7 @@ NO_WIDTH = "͏ᅟᅠ឴឵ㅤﾠ"
 
 @lru_cache(maxsize=1)
 def _tables() -> tuple[dict[int, str], re.Pattern]:
-    """The folding of single characters, and the pattern of an unstable segment with its boundary context."""
+    """The folding of single characters, and the pattern of a run of unstable ones."""
     fold = {ord(a): b for a, b in [*zip(CYRILLIC, CYRILLIC_AS), *zip(GREEK, GREEK_AS), *OTHER.items()]}
     unstable = set()
     for code in range(sys.maxunicode + 1):
@@ -63,15 +63,24 @@ def _tables() -> tuple[dict[int, str], re.Pattern]:
             runs.append([code, code])
         runs[-1][1] = last = code
     inside = "".join(f"{re.escape(chr(a))}-{re.escape(chr(b))}" if a != b else re.escape(chr(a)) for a, b in runs)
-    return fold, re.compile(f"[^{inside}]?[{inside}]+", re.DOTALL)
+    return fold, re.compile(f"[{inside}]+")
 
 
 def same_form(text: str | None) -> str | None:
     """The one form of ``text``."""
     if not text or text.isascii() and not re.search(r"[\t\n\v\f\r]", text):
         return text
-    fold, segment = _tables()
-    return segment.sub(lambda m: unicodedata.normalize("NFC", m.group().translate(fold)), text)
+    fold, unstable = _tables()
+    found = unstable.search(text)
+    if not found:
+        return text
+    out, at = [], 0
+    while found:
+        start = max(at, found.start() - 1)  # with its boundary context
+        out += text[at:start], unicodedata.normalize("NFC", text[start : found.end()].translate(fold))
+        at = found.end()
+        found = unstable.search(text, at)
+    return "".join(out) + text[at:]
 
 
 def in_one_form(df: DataFrame, columns: list[str]) -> DataFrame:
