@@ -9,7 +9,7 @@ from spanloom.llm.lookalikes import CYRILLIC, CYRILLIC_AS, GREEK, GREEK_AS, OTHE
 from spanloom.llm.markup import clean_texts
 from spanloom.llm.packing import CAPACITY, pack
 from spanloom.llm.representatives import represent
-from spanloom.llm.subjects import assign
+from spanloom.llm.subjects import fit
 from spanloom.llm.tokenizer import encode
 from spanloom.llm.windows import review_windows, split_texts
 from spanloom.sources.tables import table
@@ -100,20 +100,25 @@ def p8_fill(spark: SparkSession, root: str) -> DataFrame:
                    F.max("used").alias("fullest"), F.round(F.avg("used") / CAPACITY, 6).alias("fill"))
 
 
-def _subjects(spark: SparkSession, root: str) -> DataFrame:
-    return assign(*(table(spark, root, t) for t in ("documents", "subject_areas", "subject_labels")))
+def _subjects(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    return fit(*(table(spark, root, t) for t in ("documents", "subject_areas", "subject_labels")))
 
 
 def p9_found(spark: SparkSession, root: str) -> DataFrame:
-    return _subjects(spark, root).select("doc_id", "subject").distinct()
+    return _subjects(spark, root)["assigned"].select("doc_id", "subject").distinct()
 
 
 def p9_makeup(spark: SparkSession, root: str) -> DataFrame:
     """The corpus by subject: documents and sentences."""
-    return _subjects(spark, root).distinct().groupBy("subject").agg(F.count(F.lit(1)).alias("documents"), F.sum("n_subject").alias("sentences"))
+    return _subjects(spark, root)["assigned"].distinct().groupBy("subject").agg(F.count(F.lit(1)).alias("documents"), F.sum("n_subject").alias("sentences"))
 
 
-QUERIES = {"p9_found": p9_found, "p9_makeup": p9_makeup,
+def p9_quality(spark: SparkSession, root: str) -> DataFrame:
+    """What the latent model learnt of each labelling function."""
+    return _subjects(spark, root)["quality"]
+
+
+QUERIES = {"p9_found": p9_found, "p9_makeup": p9_makeup, "p9_quality": p9_quality,
            "p5_found": p5_found, "p5_windows": p5_windows,
            "p2_found": p2_found, "p2_clean": p2_clean,
            "p3_found": p3_found, "p3_quotes": p3_quotes, "p3_texts": p3_texts, "p4_found": p4_found, "p4_unmatched": p4_unmatched,

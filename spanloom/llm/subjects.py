@@ -1,16 +1,19 @@
 """Subject areas of documents by labelling functions and a latent accuracy model (problem 9).
 
-A text's sentences are its units.  Six labelling functions vote for a subject, for *none*, or abstain: the **lexicon** (words,
+A text's sentences are its units.  Seven labelling functions vote for a subject, for *none*, or abstain: the **lexicon** (words,
 per language) where it is sure and where it is less so, the subjects' **descriptions** (word stems), web and mail **addresses**,
-the document's **section** and its **source**.  A sentence in which neither words nor addresses vote is *none*.  The accuracy of each function is learnt without truth, by expectation-maximisation over the votes of all
-sentences; a sentence goes to its most probable class and a document to every subject with at least ``SHARE`` of its sentences.
+the document's **section** and its **source**, and **silence**, which votes *none* where neither words nor addresses vote.  The
+accuracy of each function but the last is learnt without truth, by expectation-maximisation over the votes of all sentences; a sentence goes to
+its most probable class and a document to every subject with at least ``SHARE`` of its sentences.
 
 The lexicon starts from hand-labelled documents (a bounded sample, ``MAX_LABELLED`` rows by hash of their id; a label is a
 prior, not a truth, as some are wrong) and is then re-estimated ``ROUNDS`` times over the sentences of **all** documents, each sentence
-counting with its class probabilities.  Partial counts are combined per task before they are shuffled.  What reaches the driver
-is bounded by parameters: the labelled sample, the ``MAX_TERMS`` most frequent terms of the model, one row per source and section
-(the ``MAX_GROUPS`` most frequent), and vote patterns, at most 11^6 and in practice a few hundred.  The rarer terms of a larger
-model stay in a table and are joined to the documents that have them; as the frequent ones are not, no key of that join is hot.
+counting with its class probabilities; the last round counts the addresses too.  A term that counts for less than ``LEAST_COUNT`` sentences
+in the whole corpus has no weight.  Partial counts are combined per task before they are shuffled.  What reaches the driver
+is bounded by parameters: the labelled sample, the ``MAX_TERMS`` heaviest terms of the model, and vote patterns, at most 11^7 and
+in practice a few hundred.  The rarer terms of a larger model stay in a table and are joined to the documents that have them; as the
+frequent ones are not, no key of that join is hot.  Sections and sources are joined to the documents (sent where they are at most
+``MAX_GROUPS``).  Texts are read once, votes are written once.
 
 Defined results.  Null, empty and blank texts and texts without words: no subject.  Repeated documents give one row per subject.
 Labels in other spellings count, unknown ones do not; a null label says that none was seen.  Without any labels only the
@@ -22,11 +25,11 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from zlib import crc32
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
 from spanloom.llm.lookalikes import same_form
 from spanloom.plans.lineage import cut
@@ -37,6 +40,9 @@ ROUNDS, SEED_ROUNDS, LEAST_COUNT = 2, 8, 2
 _SURE, _UNSURE = 4.0, 0.5  # leads of the best class, in log likelihood, at which the lexicon votes
 _LEAST_TERMS = 3  # a sentence of fewer words says too little for the lexicon to vote
 _FLUSH = 200_000  # distinct terms a task holds before it passes its counts on
+_BITS, _HOST = 56, 8  # a term is its language (addresses: 8) above a hash of 56 bits
+FUNCTIONS = ["lexicon", "descriptions", "addresses", "section", "source", "lexicon_unsure", "silence"]
+_BELIEF = [0.95, 0.7, 0.7, 0.4, 0.4, 0.8, 0.95]  # accuracies before any vote is seen
 
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 _WORD = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)*")
@@ -51,14 +57,25 @@ FUNCTION_WORDS = {
 _LANGUAGES = [(k, frozenset(v.split())) for k, v in FUNCTION_WORDS.items()]
 
 
+def split_sentences(text: str | None) -> list[tuple[str, list[str]]]:
+    """The units of a text that have at least three letters, each with its words."""
+    if not text:
+        return []
+    units = [(s, _WORD.findall(s.lower())) for s in _SENTENCE.split(same_form_lines(text))]
+    return [u for u in units if sum(map(len, u[1])) > 2]
+
+
 def sentences(text: str | None) -> list[str]:
-    """The units of a text that have at least three letters."""
-    return [s for s in _SENTENCE.split(same_form_lines(text)) if sum(map(len, _WORD.findall(s))) > 2] if text else []
+    return [s for s, _ in split_sentences(text)]
 
 
 def same_form_lines(text: str) -> str:
     """The text in one form, line by line (line ends separate sentences)."""
-    return text if text.isascii() else "\n".join(same_form(line) for line in text.splitlines())
+    return text if text.isascii() else "\n".join(map(same_form, text.splitlines()))
+
+
+def code(word: str) -> int:
+    return int.from_bytes(blake2b(word.encode("utf-8", "surrogatepass"), digest_size=7).digest())
 
 
 def language(words: Counter) -> int:
@@ -74,30 +91,31 @@ class Reader:
 
     def __init__(self, stems: dict[str, int]) -> None:
         self.stems = stems
-        self.known: dict[str, tuple[int, frozenset]] = {}
-
-    def word(self, w: str) -> tuple[int, frozenset]:
-        """The word's code (-1 for short words) and the description stems it hits."""
-        if len(self.known) >= _FLUSH:
-            self.known.clear()
-        out = self.known[w] = (crc32(w.encode()) if len(w) > 2 else -1, frozenset(x for x in (w, _stem(w)) if x in self.stems))
+        self.known: list[dict[str, int]] = [{} for _ in _LANGUAGES]  # -1 for short words
+        self.hitting: dict[str, frozenset[str]] = {}
+
+    def word(self, w: str, lang: int) -> int:
+        if len(self.known[lang]) >= _FLUSH:
+            self.known[lang].clear()
+        self.known[lang][w] = out = lang << _BITS | code(w) if len(w) > 2 else -1
+        if stems := frozenset(x for x in (w, _stem(w)) if x in self.stems):
+            self.hitting[w] = stems
         return out
 
     def terms(self, text: str | None) -> tuple[list[list[int]], list[int], list[list[int]]]:
         """Per sentence: its terms, the vote of the descriptions (-1: abstains), its addresses."""
-        units = sentences(text)
-        split = [_WORD.findall(s.lower()) for s in units]
-        base = language(Counter(w for ws in split for w in ws)) << 32
-        known, word = self.known, self.word
+        units = split_sentences(text)
+        lang = language(Counter(w for _, ws in units for w in ws))
+        get, word, hitting = self.known[lang].get, self.word, self.hitting
         ids, votes = [], []
-        for ws in split:
-            made = [known.get(w) or word(w) for w in dict.fromkeys(ws)]
-            ids.append([base | code for code, _ in made if code >= 0])
-            hit = {x for _, stems in made if stems for x in stems}
-            hits = Counter(self.stems[x] for x in hit).most_common(2) if hit else ()
+        for _, ws in units:
+            once = set(ws)
+            ids.append([c for w in once if (c := get(w) or word(w, lang)) >= 0])
+            hits = Counter(self.stems[x] for x in {x for w in once & hitting.keys() for x in hitting[w]}).most_common(2)
             votes.append(hits[0][0] if hits and (len(hits) == 1 or hits[0][1] > hits[1][1]) else -1)
-        hosts = [[1 << 40 | crc32(h.lower().encode()) for h in _ADDRESS.findall(s)] for s in units]
-        return ids, votes, hosts
+        if text and ("www." in text or "://" in text or "@" in text or not text.isascii()):
+            return ids, votes, [[_HOST << _BITS | code(h.lower()) for h in _ADDRESS.findall(s)] for s, _ in units]
+        return ids, votes, [[] for _ in units]
 
 
 class Terms:
@@ -136,8 +154,8 @@ class Lexicon:
         order = np.argsort(keys)
         self.keys, count = keys[order], count[order]
         self.weight = np.zeros_like(count)
-        for lang in np.unique(self.keys >> 32):
-            own = self.keys >> 32 == lang
+        for lang in np.unique(self.keys >> _BITS):
+            own = self.keys >> _BITS == lang
             self.weight[own] = _weights(count[own], count[own].sum(0) if totals is None else totals[int(lang)])
 
     @classmethod
@@ -241,10 +259,11 @@ def _seed_lexicon(sample: list, classes: int) -> Lexicon:
     return Lexicon(*_count(lists, share))
 
 
-def _corpus_lexicon(docs: DataFrame, column: str, lexicon: Lexicon, classes: int) -> Lexicon:
-    """The lexicon of ``column`` re-estimated over all sentences, each counting with its class probabilities.
+def _corpus_lexicon(docs: DataFrame, lexicon: Lexicon, classes: int, hosts: bool) -> list[Lexicon]:
+    """The lexicon re-estimated over all sentences, each counting with its class probabilities, and with ``hosts`` that of the
+    addresses too.
 
-    The ``MAX_TERMS`` heaviest terms are held, the others are its rest.
+    The ``MAX_TERMS`` heaviest terms are held, the others are the lexicon's rest.
     """
     shared = docs.sparkSession.sparkContext.broadcast((lexicon.keys, lexicon.weight))
     names = [f"c{k}" for k in range(classes)]
@@ -259,30 +278,40 @@ def _corpus_lexicon(docs: DataFrame, column: str, lexicon: Lexicon, classes: int
             held.clear()
             return pa.RecordBatch.from_arrays([keys, *(pa.array(table[:, k], pa.float64()) for k in range(classes))], ["term", *names])
 
+        prior = np.log(np.array([0.8 / (classes - 1)] * (classes - 1) + [0.2]))
         for batch in batches:
             words = Terms.of_column(batch.column(0))
-            target = words if column == "terms" else Terms.of_column(batch.column(1))
-            rest = Lexicon.of_rest(batch, "terms", classes)
-            share = _soft(own.scores(words, classes) + rest.scores(words, classes) + np.log(np.array([0.8 / (classes - 1)] * (classes - 1) + [0.2])))
-            keys, counts = _count(target, share)
-            for key, c in zip(keys.tolist(), counts):
-                have = held.get(key)
-                held[key] = c if have is None else have + c
+            score = own.scores(words, classes)
+            if lexicon_has_rest:
+                score += Lexicon.of_rest(batch, "terms", classes).scores(words, classes)
+            share = _soft(score + prior)
+            for target in (words, Terms.of_column(batch.column(1))) if hosts else (words,):
+                keys, counts = _count(target, share)
+                for key, c in zip(keys.tolist(), counts):
+                    have = held.get(key)
+                    held[key] = c if have is None else have + c
             if len(held) >= _FLUSH:
                 yield states()
         yield states()
 
+    lexicon_has_rest = lexicon.rest is not None
     partial = _with_rest(docs, "terms", lexicon).select("terms", "hosts", "terms_rest", "terms_weights").mapInArrow(run, "term long, " + ", ".join(f"{n} double" for n in names))
     total = sum((F.col(n) for n in names), F.lit(0.0))
     counts = cut(partial.groupBy("term").agg(*[F.sum(n).alias(n) for n in names]).where(total >= LEAST_COUNT))
+    is_host = F.col("term") >= F.lit(_HOST << _BITS)
+    return [_held(counts.where(part), names, total) for part in ([~is_host, is_host] if hosts else [~is_host])]
+
+
+def _held(counts: DataFrame, names: list[str], total: Column) -> Lexicon:
+    """The lexicon of counted terms."""
     rows = counts.orderBy(total.desc(), "term").limit(MAX_TERMS).toPandas()
     keys, count = rows["term"].to_numpy(np.int64), rows[names].to_numpy(float)
-    if counts.count() <= len(keys):
+    if len(keys) < MAX_TERMS or counts.count() <= len(keys):
         return Lexicon(keys, count)
-    by = counts.groupBy(F.shiftright("term", 32).alias("lang")).agg(*[F.sum(n).alias(n) for n in names]).collect()
+    by = counts.groupBy(F.shiftright("term", _BITS).alias("lang")).agg(*[F.sum(n).alias(n) for n in names]).collect()
     totals = {r["lang"]: np.array([r[n] for n in names]) for r in by}
     out = Lexicon(keys, count, totals)
-    large = docs.sparkSession.sparkContext.broadcast(out.keys)
+    large = counts.sparkSession.sparkContext.broadcast(out.keys)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -295,30 +324,32 @@ def _corpus_lexicon(docs: DataFrame, column: str, lexicon: Lexicon, classes: int
     return out
 
 
-def _group_votes(docs: DataFrame, column: str, labelled: DataFrame) -> dict[str, int]:
-    """The subject that at least half of the labelled documents of a source or section have, if any."""
-    per = docs.select("doc_id", column).join(labelled, "doc_id").withColumn("n", F.lit(1))
-    sizes = per.groupBy(column).agg(F.sum("n").alias("n"))
+def _with_group_vote(docs: DataFrame, column: str, labelled: DataFrame) -> DataFrame:
+    """``docs`` with ``by_<column>``: the subject that at least half of the labelled documents of its source or section have, if any."""
+    per = docs.select("doc_id", column).join(labelled, "doc_id")
+    sizes = per.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
     hits = per.select(column, F.explode("labels").alias("k")).groupBy(column, "k").agg(F.count(F.lit(1)).alias("hit"))
     best = hits.groupBy(column).agg(F.max(F.struct("hit", (-F.col("k")).alias("k"))).alias("b"))
-    rows = sizes.join(best, column).where((F.col("n") >= 5) & (F.col("b.hit") * 2 >= F.col("n"))).orderBy(F.desc("n"), column).limit(MAX_GROUPS)
-    return {r[column]: -r["b"]["k"] for r in rows.collect()}
+    told = cut(sizes.join(best, column).where((F.col("n") >= 5) & (F.col("b.hit") * 2 >= F.col("n"))).select(column, (-F.col("b.k")).cast("int").alias(f"by_{column}")))
+    return docs.join(F.broadcast(told) if told.count() <= MAX_GROUPS else told, column, "left")
 
 
 def fit_accuracies(patterns: np.ndarray, count: np.ndarray, classes: int, rounds: int = 30) -> tuple[np.ndarray, np.ndarray]:
     """(class prior, accuracy per function) of the latent model, from vote patterns (-1: abstains) and their counts.
 
-    A function that votes is right with its accuracy and else names any other class alike.
+    A function that votes is right with its accuracy and else names any other class alike.  That of silence stays as believed:
+    hardly any other function votes where it does, so the votes cannot tell it.
     """
     functions = patterns.shape[1]
-    accuracy, prior = np.array([0.95, 0.7, 0.7, 0.4, 0.4, 0.8])[:functions], np.full(classes, 1.0 / classes)
+    accuracy, prior = np.array(_BELIEF)[:functions], np.full(classes, 1.0 / classes)
     voted = patterns >= 0
     for _ in range(rounds):
         share = posterior(patterns, prior, accuracy)
         prior = (share * count[:, None]).sum(0) + 1.0
         prior /= prior.sum()
         right = np.take_along_axis(share, np.maximum(patterns, 0), 1) * voted * count[:, None]
-        accuracy = (right.sum(0) + 1.0) / ((voted * count[:, None]).sum(0) + 2.0)
+        learnt = (right.sum(0) + 1.0) / ((voted * count[:, None]).sum(0) + 2.0)
+        accuracy = np.where(np.arange(functions) == FUNCTIONS.index("silence"), accuracy, learnt)
         accuracy = np.clip(accuracy, 1.0 / classes, 0.9999)
     return prior, accuracy
 
@@ -344,11 +375,18 @@ def _labels(labels: DataFrame, subjects: list[str]) -> DataFrame:
 
 def assign(documents: DataFrame, areas: DataFrame, labels: DataFrame, share: float = SHARE) -> DataFrame:
     """(doc_id, subject, n_sentences, n_subject) of every document and subject with enough of its sentences."""
+    return fit(documents, areas, labels, share)["assigned"]
+
+
+def fit(documents: DataFrame, areas: DataFrame, labels: DataFrame, share: float = SHARE) -> dict[str, DataFrame]:
+    """``assigned``, see :func:`assign`, and ``quality``: (function, accuracy, votes, followed) of every labelling function, the
+    last being the share of its votes that the model's classes agree with."""
+    spark = documents.sparkSession
     rows = areas.where("subject IS NOT NULL").select("subject_id", "subject", F.coalesce("description", F.lit("")).alias("description")).orderBy("subject_id").collect()
     subjects = [r["subject"] for r in rows]
-    out = "doc_id long, subject string, n_sentences int, n_subject int"
+    out, told_of = "doc_id long, subject string, n_sentences int, n_subject int", "function string, accuracy double, votes long, followed double"
     if not subjects:
-        return documents.sparkSession.createDataFrame([], out)
+        return {"assigned": spark.createDataFrame([], out), "quality": spark.createDataFrame([], told_of)}
     classes = len(subjects) + 1
     told = Counter((_stem(w.lower()), k) for k, r in enumerate(rows) for w in set(_WORD.findall(r["subject"].replace("_", " ") + " " + r["description"])) if len(w) > 3)
     owners = Counter(w for w, _ in told)
@@ -356,54 +394,53 @@ def assign(documents: DataFrame, areas: DataFrame, labels: DataFrame, share: flo
     docs = tokenised(documents, stems)
     labelled = cut(_labels(labels, subjects))
     sample = docs.select("doc_id", "terms").join(labelled, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED).collect()
-    lexicon = _seed_lexicon(sample, classes)
-    for _ in range(ROUNDS):
-        lexicon = _corpus_lexicon(docs, "terms", lexicon, classes)
-    hosts = _corpus_lexicon(docs.where(F.exists("hosts", lambda h: F.size(h) > 0)), "hosts", lexicon, classes)
-    by_section, by_source = (_group_votes(docs, c, labelled) for c in ("section", "source"))
-    cast_by = _with_rest(_with_rest(docs, "terms", lexicon), "hosts", hosts)
-    if lexicon.rest is not None or hosts.rest is not None:
-        cast_by = cut(cast_by)  # read twice
-    shared = docs.sparkSession.sparkContext.broadcast((lexicon.keys, lexicon.weight, hosts.keys, hosts.weight, by_section, by_source))
-
-    def votes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-        """The sentences' documents (by their place in the batch) and votes."""
-        section, source = shared.value[4:]
+    lexicon, hosts = _seed_lexicon(sample, classes), None
+    for i in range(ROUNDS):
+        lexicon, *more = _corpus_lexicon(docs, lexicon, classes, i == ROUNDS - 1)
+    hosts = more[0]
+    cast_by = _with_group_vote(_with_group_vote(docs, "section", labelled), "source", labelled)
+    cast_by = _with_rest(_with_rest(cast_by, "terms", lexicon), "hosts", hosts)
+    rests = lexicon.rest is not None, hosts.rest is not None
+    shared = spark.sparkContext.broadcast((lexicon.keys, lexicon.weight, hosts.keys, hosts.weight))
+
+    def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Every document's sentences with the same votes, counted."""
         words, found = Lexicon.of_weights(*shared.value[:2]), Lexicon.of_weights(*shared.value[2:4])
-        place = np.repeat(np.arange(batch.num_rows), batch.column("terms").value_lengths().to_numpy(zero_copy_only=False))
-        out = np.full((len(place), 6), -1, np.int64)
-        for j, (lex, column) in enumerate(((words, "terms"), (found, "hosts"))):
-            units = Terms.of_column(batch.column(column))
-            score = lex.scores(units, classes) + Lexicon.of_rest(batch, column, classes).scores(units, classes)
-            if len(score):
-                two = np.sort(score, 1)[:, -2:]
-                margin = np.where(units.lengths >= (_LEAST_TERMS if j == 0 else 1), two[:, 1] - two[:, 0], 0.0)
-                out[:, 2 * j] = np.where(margin > (_SURE if j == 0 else _UNSURE), score.argmax(1), -1)
-                if j == 0:
-                    out[:, 5] = np.where((margin > _UNSURE) & (margin <= _SURE), score.argmax(1), -1)
-        out[:, 1] = batch.column("described").flatten().to_numpy(zero_copy_only=False)
-        for j, (votes_of, column) in ((3, (section, "section")), (4, (source, "source"))):
-            out[:, j] = np.array([votes_of.get(x, -1) for x in batch.column(column).to_pylist()], np.int64)[place]
-        return place, out
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            cast, n = np.unique(votes(batch)[1], axis=0, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(cast.tolist(), pa.list_(pa.int64())), pa.array(n, pa.int64())], ["votes", "n"])
-
-    seen = cast_by.mapInArrow(count, "votes array<long>, n long").groupBy("votes").agg(F.sum("n").alias("n")).orderBy("votes").collect()
-    patterns = np.array([r["votes"] for r in seen], np.int64).reshape(-1, 6)
-    prior, accuracy = fit_accuracies(patterns, np.array([r["n"] for r in seen], float), classes)
-
-    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            place, cast = votes(batch)
-            best = posterior(cast, prior, accuracy).argmax(1) if len(place) else np.zeros(0, int)
-            best[(cast[:, [0, 1, 2, 5]] < 0).all(1)] = classes - 1
-            of, size = Counter(zip(place.tolist(), best.tolist())), Counter(place.tolist())
-            ids = batch.column("doc_id").to_pylist()
-            made = [(ids[i], subjects[k], size[i], n) for (i, k), n in of.items() if k < classes - 1 and n >= share * size[i] - 1e-9]
-            columns = list(zip(*made)) if made else [[], [], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.string(), pa.int32(), pa.int32()))], ["doc_id", "subject", "n_sentences", "n_subject"])
-
-    return cast_by.mapInArrow(decide, out)
+            place = np.repeat(np.arange(batch.num_rows), batch.column("terms").value_lengths().to_numpy(zero_copy_only=False))
+            cast = np.full((len(place), len(FUNCTIONS)), -1, np.int64)
+            for j, (lex, column) in enumerate(((words, "terms"), (found, "hosts"))):
+                units = Terms.of_column(batch.column(column))
+                score = lex.scores(units, classes)
+                if rests[j]:
+                    score += Lexicon.of_rest(batch, column, classes).scores(units, classes)
+                if len(score):
+                    two = np.partition(score, classes - 2, 1)[:, -2:]
+                    margin = np.where(units.lengths >= (_LEAST_TERMS if j == 0 else 1), two[:, 1] - two[:, 0], 0.0)
+                    cast[:, 2 * j] = np.where(margin > (_SURE if j == 0 else _UNSURE), score.argmax(1), -1)
+                    if j == 0:
+                        cast[:, 5] = np.where((margin > _UNSURE) & (margin <= _SURE), score.argmax(1), -1)
+            cast[:, 1] = batch.column("described").flatten().to_numpy(zero_copy_only=False)
+            for j, column in ((3, "by_section"), (4, "by_source")):
+                cast[:, j] = batch.column(column).fill_null(-1).to_numpy(zero_copy_only=False)[place]
+            cast[:, 6] = np.where((cast[:, [0, 1, 2, 5]] < 0).all(1), classes - 1, -1)
+            packed = ((cast + 1) * (classes + 1) ** np.arange(len(FUNCTIONS))).sum(1)
+            pairs, n = np.unique(np.stack([place, packed], 1), axis=0, return_counts=True) if len(place) else (np.zeros((0, 2), int), np.zeros(0, int))
+            ids = batch.column("doc_id").take(pa.array(pairs[:, 0]))
+            rows = batch.column("row").take(pa.array(pairs[:, 0]))
+            yield pa.RecordBatch.from_arrays([rows, ids, pa.array(pairs[:, 1], pa.int64()), pa.array(n, pa.int32())], ["row", "doc_id", "votes", "n"])
+
+    votes = cut(cast_by.mapInArrow(vote, "row long, doc_id long, votes long, n int"))
+    seen = votes.groupBy("votes").agg(F.sum("n").alias("n")).orderBy("votes").collect()
+    packed, counts = np.array([r["votes"] for r in seen], np.int64), np.array([r["n"] for r in seen], float)
+    patterns = packed[:, None] // (classes + 1) ** np.arange(len(FUNCTIONS)) % (classes + 1) - 1
+    prior, accuracy = fit_accuracies(patterns, counts, classes)
+    best = posterior(patterns, prior, accuracy).argmax(1) if len(patterns) else np.zeros(0, int)
+    named = spark.createDataFrame([(int(v), subjects[k] if k < classes - 1 else None) for v, k in zip(packed, best)], "votes long, subject string")
+    # a document's sentences meet their class; its parts are a row for each of its patterns
+    sized = votes.join(F.broadcast(named), "votes").groupBy("row", "doc_id", "subject").agg(F.sum("n").cast("int").alias("n_subject"))
+    whole = W.partitionBy("row")
+    sized = sized.withColumn("n_sentences", F.sum("n_subject").over(whole).cast("int")).where(F.col("subject").isNotNull() & (F.col("n_subject") >= F.col("n_sentences") * share - 1e-9))
+    voted = patterns >= 0
+    quality = [(name, float(round(accuracy[j], 6)), int(counts[voted[:, j]].sum()), float(round(counts[voted[:, j] & (patterns[:, j] == best)].sum() / max(counts[voted[:, j]].sum(), 1.0), 6))) for j, name in enumerate(FUNCTIONS)]
+    return {"assigned": sized.select("doc_id", "subject", "n_sentences", "n_subject"), "quality": spark.createDataFrame(quality, told_of)}

@@ -74,5 +74,21 @@ def test_accuracies_are_learnt_without_truth():
     assert np.allclose(accuracy[:3], true, atol=0.05) and np.allclose(prior, 0.25, atol=0.03)
 
 
+def test_held_out_labels_of_the_test_documents(spark):
+    """A fifth of the hand labels is hidden; label sets are compared, and some labels are mistakes."""
+    table = lambda n: spark.read.parquet(f"/root/testdata/sf0.1/{n}.parquet")
+    labels, hidden = table("subject_labels"), F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0
+    got, want = {}, {}
+    out = S.fit(table("documents"), table("subject_areas"), labels.where(~hidden))
+    for r in out["assigned"].collect():
+        got.setdefault(r.doc_id, set()).add(r.subject)
+    known = [r.subject for r in table("subject_areas").collect()]
+    for r in S._labels(labels.where(hidden), known).collect():
+        want[r.doc_id] = {known[k] for k in r.labels}
+    assert len(want) > 100 and sum(got.get(k, set()) == v for k, v in want.items()) / len(want) >= 0.93
+    learnt = {r.function: r for r in out["quality"].collect()}
+    assert set(learnt) == set(S.FUNCTIONS) and learnt["lexicon"].accuracy > 0.8 and learnt["lexicon"].votes > 5_000
+
+
 def test_languages_and_sentences():
     assert len(S.sentences("One is here. Zwei ist da!\nDrei 1 2\n12 34")) == 3 and S.sentences(None) == []
