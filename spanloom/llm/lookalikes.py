@@ -15,10 +15,10 @@ Defined results.  Null: null.  Empty: empty.  Texts of any length are handled wh
 from __future__ import annotations
 
 import re
-import sys
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -31,15 +31,16 @@ OTHER = {"‐": "-", "‑": "-", "µ": "μ", "ﬀ": "ff", "ﬁ": "fi", "ﬂ": "f
 #: Characters of no width that are not of the general category Cf.
 NO_WIDTH = "͏ᅟᅠ឴឵ㅤﾠ"
 
+#: Blocks of characters that are all stable in the form (ideographs, syllables, surrogates, private use, unassigned).
+STABLE = [(0x3400, 0x4DBF), (0x4E00, 0xA48C), (0xAC00, 0xD7A3), (0xD800, 0xF8FF), (0x17000, 0x1AFFF), (0x20000, 0x2F7FF), (0x2FA20, 0xE0000), (0xE01F0, 0x10FFFF)]
+
 
 @lru_cache(maxsize=1)
 def _tables() -> tuple[dict[int, str], re.Pattern]:
     """The folding of single characters, and the pattern of a run of unstable ones."""
     fold = {ord(a): b for a, b in [*zip(CYRILLIC, CYRILLIC_AS), *zip(GREEK, GREEK_AS), *OTHER.items()]}
     unstable = set()
-    for code in range(sys.maxunicode + 1):
-        if 0xD800 <= code <= 0xDFFF:
-            continue
+    for code in chain.from_iterable(range(a, b) for a, b in zip([0, *(b + 1 for _, b in STABLE)], [a for a, _ in STABLE])):
         ch = chr(code)
         kind = unicodedata.category(ch)
         if kind in ("Cn", "Co"):

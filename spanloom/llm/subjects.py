@@ -12,8 +12,8 @@ counting with its class probabilities; the last round counts the addresses too.
 in the whole corpus has no weight.  Partial counts are combined per task before they are shuffled.  What reaches the driver
 is bounded by parameters: the labelled sample, the ``MAX_TERMS`` heaviest terms of the model, and vote patterns, at most 11^7 and
 in practice a few hundred.  The rarer terms of a larger model stay in a table and are joined to the documents that have them; as the
-frequent ones are not, no key of that join is hot.  Sections and sources are joined to the documents (sent where they are at most
-``MAX_GROUPS``).  Texts are read once, votes are written once.
+frequent ones are not, no key of that join is hot.  Sections and sources are looked up in a literal of at most ``MAX_GROUPS``,
+or joined to the documents where they are more.  Texts are read once, votes are written once.
 
 Defined results.  Null, empty and blank texts and texts without words: no subject.  Repeated documents give one row per subject.
 Labels in other spellings count, unknown ones do not; a null label says that none was seen.  Without any labels only the
@@ -22,7 +22,9 @@ descriptions vote.  A subject without sentences has no row.  Empty tables give a
 
 from __future__ import annotations
 
+import json
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from hashlib import blake2b
@@ -62,7 +64,7 @@ def split_sentences(text: str | None) -> list[tuple[str, list[str]]]:
     if not text:
         return []
     units = [(s, _WORD.findall(s.lower())) for s in _SENTENCE.split(same_form_lines(text))]
-    return [u for u in units if sum(map(len, u[1])) > 2]
+    return [u for u in units if len(u[1]) > 2 or sum(map(len, u[1])) > 2]
 
 
 def sentences(text: str | None) -> list[str]:
@@ -93,6 +95,7 @@ class Reader:
         self.stems = stems
         self.known: list[dict[str, int]] = [{} for _ in _LANGUAGES]  # -1 for short words
         self.hitting: dict[str, frozenset[str]] = {}
+        self.marked: set[str] = set()
 
     def word(self, w: str, lang: int) -> int:
         if len(self.known[lang]) >= _FLUSH:
@@ -100,22 +103,36 @@ class Reader:
         self.known[lang][w] = out = lang << _BITS | code(w) if len(w) > 2 else -1
         if stems := frozenset(x for x in (w, _stem(w)) if x in self.stems):
             self.hitting[w] = stems
+            self.marked.add(w)
         return out
 
-    def terms(self, text: str | None) -> tuple[list[list[int]], list[int], list[list[int]]]:
-        """Per sentence: its terms, the vote of the descriptions (-1: abstains), its addresses."""
+    def terms(self, text: str | None) -> tuple[bytes, bytes, bytes, bytes, bytes]:
+        """The text's terms (64 bits each) and how many each sentence has, its sentences' votes by the descriptions (-1:
+        abstains), its addresses and how many each sentence has: arrays as bytes, which pass between the JVM and Python as they are."""
         units = split_sentences(text)
         lang = language(Counter(w for _, ws in units for w in ws))
-        get, word, hitting = self.known[lang].get, self.word, self.hitting
-        ids, votes = [], []
+        get, word, hitting, marked = self.known[lang].get, self.word, self.hitting, self.marked
+        flat, lengths, votes, hosts, n_hosts = array("q"), array("i"), array("b"), array("q"), array("i", bytes(4 * len(units)))
         for _, ws in units:
             once = set(ws)
-            ids.append([c for w in once if (c := get(w) or word(w, lang)) >= 0])
-            hits = Counter(self.stems[x] for x in {x for w in once & hitting.keys() for x in hitting[w]}).most_common(2)
-            votes.append(hits[0][0] if hits and (len(hits) == 1 or hits[0][1] > hits[1][1]) else -1)
+            own = [c for w in once if (c := get(w) or word(w, lang)) >= 0]
+            flat.extend(own)
+            lengths.append(len(own))
+            if not marked.isdisjoint(once):
+                hits = Counter(self.stems[x] for x in {x for w in marked & once for x in hitting[w]}).most_common(2)
+                votes.append(hits[0][0] if len(hits) == 1 or hits[0][1] > hits[1][1] else -1)
+            else:
+                votes.append(-1)
         if text and ("www." in text or "://" in text or "@" in text or not text.isascii()):
-            return ids, votes, [[_HOST << _BITS | code(h.lower()) for h in _ADDRESS.findall(s)] for s, _ in units]
-        return ids, votes, [[] for _ in units]
+            for i, (s, _) in enumerate(units):
+                own = [_HOST << _BITS | code(h.lower()) for h in _ADDRESS.findall(s)]
+                hosts.extend(own)
+                n_hosts[i] = len(own)
+        return flat.tobytes(), lengths.tobytes(), votes.tobytes(), hosts.tobytes(), n_hosts.tobytes()
+
+
+def _numbers(column: pa.Array, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
 
 
 class Terms:
@@ -126,14 +143,14 @@ class Terms:
         self.of = np.repeat(np.arange(len(lengths)), lengths)
 
     @classmethod
-    def of_lists(cls, lists: list[list[int]]) -> Terms:
-        return cls(np.fromiter((x for ts in lists for x in ts), np.int64), np.array([len(ts) for ts in lists], np.int64))
+    def of_batch(cls, batch: pa.RecordBatch, column: str) -> Terms:
+        """The terms or addresses of the sentences of all documents of a batch."""
+        return cls(_numbers(batch.column(column), np.int64), _numbers(batch.column(f"n_{column}"), np.int32))
 
-    @classmethod
-    def of_column(cls, column: pa.Array) -> Terms:
-        """The sentences of all documents of a column of lists of lists."""
-        inner = column.flatten()
-        return cls(inner.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.asarray(inner.value_lengths().to_numpy(zero_copy_only=False), np.int64))
+
+def _places(batch: pa.RecordBatch) -> np.ndarray:
+    """The document of each sentence of a batch, by its place."""
+    return np.repeat(np.arange(batch.num_rows), [len(x) for x in batch.column("described").to_pylist()])
 
 
 def _weights(count: np.ndarray, total: np.ndarray) -> np.ndarray:
@@ -200,39 +217,37 @@ def _count(terms: Terms, share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def tokenised(documents: DataFrame, stems: dict[str, int]) -> DataFrame:
-    """(doc_id, source, section, terms, described, hosts), written once and read by every later pass."""
-    kinds = [pa.int64(), pa.string(), pa.string(), pa.list_(pa.list_(pa.int64())), pa.list_(pa.int32()), pa.list_(pa.list_(pa.int64()))]
-    names = ["doc_id", "source", "section", "terms", "described", "hosts"]
+    """(doc_id, source, section, terms, n_terms, described, hosts, n_hosts, row), written once and read by every later pass."""
+    names = ["doc_id", "source", "section", "terms", "n_terms", "described", "hosts", "n_hosts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read = Reader(stems).terms
         for batch in batches:
             made = [read(t) for t in batch.column("text").to_pylist()]
-            columns = [batch.column(0), batch.column(1), batch.column(2), *([m[k] for m in made] for k in range(3))]
-            yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds)], names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *(pa.array([m[k] for m in made], pa.binary()) for k in range(5))], names)
 
     out = documents.select("doc_id", "source", "section", "text").mapInArrow(
-        run, "doc_id long, source string, section string, terms array<array<long>>, described array<int>, hosts array<array<long>>")
-    return cut(out.where(F.size("terms") > 0).withColumn("row", F.monotonically_increasing_id()))
+        run, "doc_id long, source string, section string, terms binary, n_terms binary, described binary, hosts binary, n_hosts binary")
+    return cut(out.where(F.length("described") > 0).withColumn("row", F.monotonically_increasing_id()))
 
 
 def _with_rest(docs: DataFrame, column: str, lexicon: Lexicon) -> DataFrame:
     """``docs`` plus the terms of ``column`` that only the lexicon's rest has, and their weights, term by term."""
     names = [f"{column}_rest", f"{column}_weights"]
     if lexicon.rest is None:
-        return docs.withColumns({n: F.lit(None).cast(f"array<{k}>") for n, k in zip(names, ("long", "double"))})
+        return docs
     shared = docs.sparkSession.sparkContext.broadcast(lexicon.keys)
 
     def rarer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            terms = Terms.of_column(batch.column(1))
-            place = np.repeat(np.arange(batch.num_rows), batch.column(1).value_lengths().to_numpy(zero_copy_only=False))[terms.of]
+            terms = Terms.of_batch(batch, column)
+            place = _places(batch)[terms.of]
             rare = ~np.isin(terms.flat, shared.value)
             pairs = np.unique(np.stack([place[rare], terms.flat[rare]], 1), axis=0)
             rows = batch.column(0).to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays([pa.array(rows[pairs[:, 0]], pa.int64()), pa.array(pairs[:, 1], pa.int64())], ["row", "term"])
 
-    met = docs.select("row", column).mapInArrow(rarer, "row long, term long").join(lexicon.rest, "term")
+    met = docs.select("row", column, f"n_{column}", "described").mapInArrow(rarer, "row long, term long").join(lexicon.rest, "term")
     met = met.groupBy("row").agg(F.collect_list(F.struct("term", "weight")).alias("met"))
     met = met.select("row", F.col("met.term").alias(names[0]), F.flatten("met.weight").alias(names[1]))
     return docs.join(met, "row", "left")
@@ -246,12 +261,11 @@ def _seed_lexicon(sample: list, classes: int) -> Lexicon:
         for k in row["labels"]:
             p[k] = 0.8 / len(row["labels"])
         p[-1] = 0.2 if row["labels"] else 0.9
-        for ts in row["terms"]:
-            lists.append(ts)
-            prior.append(np.log(p / p.sum()))
-    if not lists:
+        lists.append((row["terms"], row["n_terms"]))
+        prior += [np.log(p / p.sum())] * (len(row["n_terms"]) // 4)
+    if not prior:
         return Lexicon(np.zeros(0, np.int64), np.zeros((0, classes)))
-    prior, lists = np.array(prior), Terms.of_lists(lists)
+    prior, lists = np.array(prior), Terms(*(np.frombuffer(b"".join(x), k) for x, k in zip(zip(*lists), (np.int64, np.int32))))
     share = _soft(prior)
     for _ in range(SEED_ROUNDS):
         lexicon = Lexicon(*_count(lists, share))
@@ -280,12 +294,12 @@ def _corpus_lexicon(docs: DataFrame, lexicon: Lexicon, classes: int, hosts: bool
 
         prior = np.log(np.array([0.8 / (classes - 1)] * (classes - 1) + [0.2]))
         for batch in batches:
-            words = Terms.of_column(batch.column(0))
+            words = Terms.of_batch(batch, "terms")
             score = own.scores(words, classes)
             if lexicon_has_rest:
                 score += Lexicon.of_rest(batch, "terms", classes).scores(words, classes)
             share = _soft(score + prior)
-            for target in (words, Terms.of_column(batch.column(1))) if hosts else (words,):
+            for target in (words, Terms.of_batch(batch, "hosts")) if hosts else (words,):
                 keys, counts = _count(target, share)
                 for key, c in zip(keys.tolist(), counts):
                     have = held.get(key)
@@ -295,7 +309,7 @@ def _corpus_lexicon(docs: DataFrame, lexicon: Lexicon, classes: int, hosts: bool
         yield states()
 
     lexicon_has_rest = lexicon.rest is not None
-    partial = _with_rest(docs, "terms", lexicon).select("terms", "hosts", "terms_rest", "terms_weights").mapInArrow(run, "term long, " + ", ".join(f"{n} double" for n in names))
+    partial = _with_rest(docs.drop("doc_id", "source", "section"), "terms", lexicon).mapInArrow(run, "term long, " + ", ".join(f"{n} double" for n in names))
     total = sum((F.col(n) for n in names), F.lit(0.0))
     counts = cut(partial.groupBy("term").agg(*[F.sum(n).alias(n) for n in names]).where(total >= LEAST_COUNT))
     is_host = F.col("term") >= F.lit(_HOST << _BITS)
@@ -330,8 +344,11 @@ def _with_group_vote(docs: DataFrame, column: str, labelled: DataFrame) -> DataF
     sizes = per.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
     hits = per.select(column, F.explode("labels").alias("k")).groupBy(column, "k").agg(F.count(F.lit(1)).alias("hit"))
     best = hits.groupBy(column).agg(F.max(F.struct("hit", (-F.col("k")).alias("k"))).alias("b"))
-    told = cut(sizes.join(best, column).where((F.col("n") >= 5) & (F.col("b.hit") * 2 >= F.col("n"))).select(column, (-F.col("b.k")).cast("int").alias(f"by_{column}")))
-    return docs.join(F.broadcast(told) if told.count() <= MAX_GROUPS else told, column, "left")
+    told = cut(sizes.join(best, column).where((F.col("n") >= 5) & (F.col("b.hit") * 2 >= F.col("n"))).select(column, (-F.col("b.k")).cast("int").alias("k")))
+    if told.count() > MAX_GROUPS:
+        return docs.join(told.withColumnRenamed("k", f"by_{column}"), column, "left")
+    few = F.from_json(F.lit(json.dumps({r[column]: r["k"] for r in told.collect()})), "map<string,int>")
+    return docs.withColumn(f"by_{column}", few[F.col(column)])
 
 
 def fit_accuracies(patterns: np.ndarray, count: np.ndarray, classes: int, rounds: int = 30) -> tuple[np.ndarray, np.ndarray]:
@@ -393,7 +410,7 @@ def fit(documents: DataFrame, areas: DataFrame, labels: DataFrame, share: float
     stems = {w: k for w, k in told if owners[w] == 1}
     docs = tokenised(documents, stems)
     labelled = cut(_labels(labels, subjects))
-    sample = docs.select("doc_id", "terms").join(labelled, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED).collect()
+    sample = docs.select("doc_id", "terms", "n_terms").join(labelled, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED).collect()
     lexicon, hosts = _seed_lexicon(sample, classes), None
     for i in range(ROUNDS):
         lexicon, *more = _corpus_lexicon(docs, lexicon, classes, i == ROUNDS - 1)
@@ -407,10 +424,10 @@ def fit(documents: DataFrame, areas: DataFrame, labels: DataFrame, share: float
         """Every document's sentences with the same votes, counted."""
         words, found = Lexicon.of_weights(*shared.value[:2]), Lexicon.of_weights(*shared.value[2:4])
         for batch in batches:
-            place = np.repeat(np.arange(batch.num_rows), batch.column("terms").value_lengths().to_numpy(zero_copy_only=False))
+            place = _places(batch)
             cast = np.full((len(place), len(FUNCTIONS)), -1, np.int64)
             for j, (lex, column) in enumerate(((words, "terms"), (found, "hosts"))):
-                units = Terms.of_column(batch.column(column))
+                units = Terms.of_batch(batch, column)
                 score = lex.scores(units, classes)
                 if rests[j]:
                     score += Lexicon.of_rest(batch, column, classes).scores(units, classes)
@@ -420,7 +437,7 @@ def fit(documents: DataFrame, areas: DataFrame, labels: DataFrame, share: float
                     cast[:, 2 * j] = np.where(margin > (_SURE if j == 0 else _UNSURE), score.argmax(1), -1)
                     if j == 0:
                         cast[:, 5] = np.where((margin > _UNSURE) & (margin <= _SURE), score.argmax(1), -1)
-            cast[:, 1] = batch.column("described").flatten().to_numpy(zero_copy_only=False)
+            cast[:, 1] = _numbers(batch.column("described"), np.int8)
             for j, column in ((3, "by_section"), (4, "by_source")):
                 cast[:, j] = batch.column(column).fill_null(-1).to_numpy(zero_copy_only=False)[place]
             cast[:, 6] = np.where((cast[:, [0, 1, 2, 5]] < 0).all(1), classes - 1, -1)

@@ -41,6 +41,13 @@ def test_segments_equal_the_whole(text):
     assert L.same_form(form) == form
 
 
+def test_blocks_taken_as_stable_are():
+    for a, b in L.STABLE:
+        for ch in map(chr, range(a, b + 1)):
+            if unicodedata.category(ch) not in ("Cn", "Co", "Cs"):
+                assert unicodedata.is_normalized("NFC", ch) and not unicodedata.combining(ch) and not unicodedata.decomposition(ch).startswith("<") and unicodedata.category(ch)[0] == "L" or not ch.isprintable(), hex(ord(ch))
+
+
 def test_quotes_and_extra_columns(spark):
     text = "x 😀 Thе\u00a0cat sat. end"
     parsed = spark.createDataFrame([("d", text, "clash"), ("n", None, ""), ("e", "", "")], "doc_id string, text string, source_quote string")
