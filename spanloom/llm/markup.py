@@ -9,8 +9,10 @@
   vary).  Nodes that look and read alike on the host's pages (menus, notices) fall below the threshold and their branches are
   removed from every page before it is converted; a page has one branch of a node at most, so what is removed is what was
   counted.  Nodes, styles and words are counted in Spark over all pages with elements.
-* **Conversion.** Marks go, what they say about structure stays: ``blocks`` lists the headings (with level), list items, code
-  and formulas as half-open code point ranges of the clean text.  Formulas keep their notation, code its lines.
+* **Conversion.** Marks go, round by round until none is left, what they say about structure stays: ``blocks`` lists the
+  headings (with level), list items, code and formulas as half-open code point ranges of the clean text.  Formulas keep their
+  notation, also outside dollar signs (``\\alpha``), code its lines.  A template comes out as what stands in its places, unless it
+  names a source or directs the editors.
 
 The style tree alone cannot find marks of Markdown, wiki or LaTeX, nor a lone tag, so residue is told by the scanner; the
 tree decides only what is dropped from pages.
@@ -48,6 +50,15 @@ BLOCK = frozenset(
     "form h1 h2 h3 h4 h5 h6 header html li list list-item main nav ol p pre sec section table table-wrap tbody tfoot thead title tr ul".split()
 )
 
+#: LaTeX commands that only lay text out, and those whose arguments are part of a formula; other bare commands are symbols.
+LAYOUT = (
+    "appendix bf bfseries bigskip centering clearpage em emph footnotesize frontmatter hfill hline hspace huge indent it item itshape label large "
+    "ldots linebreak listoffigures listoftables maketitle medskip newline newpage noindent normalfont normalsize pagebreak par quad qquad raggedright rm "
+    "rmfamily sc scshape sf sffamily sl small smallskip tableofcontents textbf textit textrm texttt tiny tt ttfamily vfill vspace").split()
+IN_FORMULA = "frac dfrac tfrac binom sqrt hat bar vec tilde dot overline mathrm mathbf mathit mathcal mathbb mathsf operatorname sum prod int lim".split()
+#: First words of templates that name a source or direct the editors; of others what stands in their places is text.
+SILENT_TEMPLATES = "cite citation ref refn reflist sfn harv harvnb efn notelist main see about redirect infobox navbox category defaultsort toc clear stub".split()
+
 MAX_SENT_HOSTS = 20_000  # hosts with noise whose paths are broadcast
 
 _NAME = "|".join(sorted(map(re.escape, ELEMENTS), key=len, reverse=True))
@@ -95,7 +106,7 @@ _VERBATIM = [(re.compile(p, re.DOTALL | re.IGNORECASE), kind) for p, kind in (
     (r"\\begin\{(?:equation|align|gather|multline|eqnarray|displaymath|math)\*?\}\s*(.*?)\s*\\end\{(?:equation|align|gather|multline|eqnarray|displaymath|math)\*?\}", "formula"),
     (r"<(?:math|tex-math|\w+:math)\b[^>]*>(.*?)</(?:math|tex-math|\w+:math)>", "formula"),
     (r"\$\$(.+?)\$\$", "formula"), (r"\\\[(.+?)\\\]", "formula"), (r"\\\((.+?)\\\)", "formula"),
-    (r"\$([^$\n]*[\\^_{][^$\n]*)\$", "formula"), (r"<code\b[^>]*>(.*?)</code>", "code"), (r"`([^`\n]+)`", "code"),
+    (r"\$([^$\n]*[\\^_{][^$\n]*)\$", "formula"), (rf"(\\(?:{'|'.join(IN_FORMULA)})(?![A-Za-z])(?:\s?(?:_|\^)?\{{(?:[^{{}}]|\{{[^{{}}]*\}})*\}})+)", "formula"), (r"<code\b[^>]*>(.*?)</code>", "code"), (r"`([^`\n]+)`", "code"),
 )]
 
 def _structure(kind: str, level: int, inner: str) -> str:
@@ -121,27 +132,41 @@ _BLOCK_RULES = [(re.compile(p, re.DOTALL | re.IGNORECASE), r) for p, r in (
     (r"\\(?:begin|end)\{[^{}\n]*\}(?:\[[^\]\n]*\])?", lambda m: "\n"),
 )]
 
+_TEMPLATE = re.compile(r"\{\{([^{}]*)\}\}")
+
+
+def _template(inner: str) -> str:
+    """What a wiki template says in its places; nothing if it names a source or directs the editors."""
+    name, *places = inner.split("|")
+    if (name.split() or [""])[0].lower() in SILENT_TEMPLATES:
+        return ""
+    return " ".join(x.strip() for x in places if "=" not in x)
+
+
 _INLINE_RULES = [(re.compile(p, re.DOTALL), r) for p, r in (
     (r"!?\[([^\[\]\n]*)\]\([^()\s]*(?:[ \t]+\"[^\"\n]*\")?\)", r"\1"),
-    (r"\[\[(?:[^\[\]|\n]*\|)?([^\[\]|\n]*)\]\]", r"\1"), (r"\{\{[^{}]*\}\}", ""), (r"\[\[|\]\]|\{\{|\}\}", ""),
+    (r"\[\[(?:[^\[\]|\n]*\|)?([^\[\]|\n]*)\]\]", r"\1"), (r"\[\[|\]\]|\{\{|\}\}", ""),
     (r"~?\\(?:cite|citep|citet|label|ref|eqref|pageref|bibliography|bibliographystyle|usepackage|documentclass)\*?(?:\[[^\]\n]*\])?\{[^{}]*\}", ""),
     (r"\\footnote\{([^{}]*)\}", r" (\1)"), (r"\{\\[A-Za-z]+[ \t]+([^{}]*)\}", r"\1"), (r"\\[A-Za-z]+\*?\{([^{}]*\{[^{}]*\}[^{}]*|[^{}]*)\}", r"\1"),
-    (r"\\([%&_#$(){}\[\]])", r"\1"), (r"\\[A-Za-z]+\*?[ \t]?", ""),
+    (r"\\([%&_#$(){}\[\]])", r"\1"), (rf"\\(?:{'|'.join(LAYOUT)})(?![A-Za-z])\*?[ \t]?", ""),
     (r"''+", ""), (r"\*\*+", ""), (r"~~", ""), (r"(?<!\w)__(?=[^\s_])([^\n]*?[^\s_])__(?!\w)", r"\1"),
     (r"(?<![\w*])\*(?=[^\s*])([^*\n]*[^\s*])\*(?![\w*])", r"\1"), (r"(?<![\w_])_(?=[^\s_])([^_\n]*[^\s_])_(?![\w_])", r"\1"), (r"```", ""),
 )]
 
+_SYMBOL = re.compile(r"(\\[A-Za-z]+(?:[_^](?:\{[^{}]*\}|[A-Za-z0-9]))*)")  # what is left of LaTeX is notation: \alpha_{1}
+
+
 def _untag(m: re.Match) -> str:
     parts = _PARTS.fullmatch(m.group())
     return "\n" if parts and (parts[2].lower() in BLOCK or parts[2].lower() in ("br", "hr") or parts[2].lower().endswith(":p")) else ""
 
-def clean(text: str | None, dropped: frozenset[str] = frozenset()) -> tuple[str | None, list[tuple[str, int, int, int]]]:
-    """The clean text and its blocks (kind, level, start, end); ``dropped`` holds the nodes or paths of branches to remove."""
+def clean(text: str | None, noise: dict[str, frozenset[str]] | None = None) -> tuple[str | None, list[tuple[str, int, int, int]]]:
+    """The clean text and its blocks (kind, level, start, end); ``noise``: see :func:`drop_branches`."""
     if not text or not has_residue(text):
         return text, []
     text = re.sub("[\x02-\x04]", "", text)
-    if dropped:
-        text = drop_branches(text, dropped)
+    if noise:
+        text = drop_branches(text, noise)
     kept: list[tuple[str, str]] = []
 
     def keep(kind: str):
@@ -151,18 +176,20 @@ def clean(text: str | None, dropped: frozenset[str] = frozenset()) -> tuple[str
         return put
 
     text = "\n" + text + "\n"
-    for _ in range(4):  # entities may hide tags, tags may hide marks
+    before = None
+    while text != before:  # entities may hide tags, tags may hide marks; every round takes marks away
         before = text
         for pattern, kind in _VERBATIM:
             text = pattern.sub(keep(kind), text)
         for pattern, rule in _BLOCK_RULES:
             text = pattern.sub(rule, text)
+        while text != (text := _TEMPLATE.sub(lambda m: _template(m[1]), text)):
+            pass  # the inner before the outer ones
         for pattern, rule in _INLINE_RULES:
             text = pattern.sub(rule, text)
+        text = _SYMBOL.sub(keep("formula"), text)
         text = _ANY_TAG.sub(_untag, text)
         text = re.sub(_ENTITY, lambda m: re.sub("[\x02-\x04]", "", html.unescape(m.group())), text)
-        if text == before:
-            break
     text = re.sub(r"[ \t\u00a0]*\n[ \t]*", "\n", re.sub(r"[ ]{2,}", " ", text))
     text = re.sub(r"\n{3,}", "\n\n", text).strip()
     out, blocks, open_, at = [], [], [], 0
@@ -227,9 +254,17 @@ def placed_branches(text: str) -> list[tuple[str, str, int, int, tuple[str, str]
         nodes.append((f"{first}{label}>{place}", f"{last}{label}>{place - siblings[parent, label] - 1}"))
     return [(*b[:4], nodes[b[4]]) for b in found]
 
-def drop_branches(text: str, paths: frozenset[str]) -> str:
-    """``text`` without the branches of ``paths``: nodes, or paths without places for all their branches."""
-    cuts, out, at = sorted((s, e) for p, _, s, e, nodes in placed_branches(text) if p in paths or not paths.isdisjoint(nodes)), [], 0
+def _words(branch: str) -> set[str]:
+    return set(re.findall(r"\w+", _ANY_TAG.sub(" ", branch).lower()))
+
+def drop_branches(text: str, noise: dict[str, frozenset[str]]) -> str:
+    """``text`` without the branches of the nodes of ``noise`` that say what their host's pages say there: at least half of a
+    branch's words are among the node's usual ones."""
+    def usual(branch: str, node: str) -> bool:
+        own = _words(branch)
+        return len(own & noise[node]) * 2 >= len(own)
+
+    cuts, out, at = sorted((s, e) for _, _, s, e, nodes in placed_branches(text) if any(n in noise and usual(text[s:e], n) for n in nodes)), [], 0
     for start, end in cuts:
         if start >= at:
             out.append(text[at:start])
@@ -237,7 +272,8 @@ def drop_branches(text: str, paths: frozenset[str]) -> str:
     return "".join(out) + text[at:]
 
 def noise_paths(marked: DataFrame, threshold: float = 0.15, least_pages: int = 20) -> DataFrame:
-    """(host, paths): nodes of low importance per host, from all distinct pages of ``marked`` (host, key, text) with elements.
+    """(host, noise): nodes of low importance per host with their usual words (on at least half of the pages that have the
+    node), from all distinct pages of ``marked`` (host, key, text) with elements.
 
     With m pages that have a node, the presentation's importance is the entropy of its children's patterns to base m;
     the content's is one less the mean, over its words, of the word's entropy over the pages (ln n / ln m for a word on n
@@ -245,7 +281,7 @@ def noise_paths(marked: DataFrame, threshold: float = 0.15, least_pages: int = 2
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(h, nodes, s, sorted(set(re.findall(r"\w+", _ANY_TAG.sub(" ", t[a:b]).lower()))))
+            rows = [(h, nodes, s, sorted(_words(t[a:b])))
                     for h, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
                     for _, s, a, b, nodes in placed_branches(t)]
             columns = list(zip(*rows)) if rows else [[], [], [], []]
@@ -262,7 +298,10 @@ def noise_paths(marked: DataFrame, threshold: float = 0.15, least_pages: int = 2
     joined = look.where(F.col("m") >= least_pages).join(content, ["host", "path"], "left")
     presentation = (F.log("m") - F.col("nln") / F.col("m")) / F.log("m")
     importance = F.greatest(presentation, 1 - F.coalesce("lnn", F.lit(0.0)) / F.log("m"))
-    return joined.where(importance < threshold).groupBy("host").agg(F.array_sort(F.collect_set("path")).alias("paths"))
+    low = joined.where(importance < threshold).select("host", "path", "m")
+    usual = words.join(low, ["host", "path"]).where(F.col("n") * 2 >= F.col("m")).groupBy("host", "path").agg(F.collect_list("word").alias("words"))
+    nodes = low.join(usual, ["host", "path"], "left").select("host", F.struct("path", F.coalesce("words", F.array().cast("array<string>")).alias("words")).alias("node"))
+    return nodes.groupBy("host").agg(F.array_sort(F.collect_list("node")).alias("noise"))
 
 def residue(df: DataFrame) -> DataFrame:
     """The rows of ``df`` (field, row_key, host, text) whose text carries residue; no shuffle."""
@@ -283,7 +322,7 @@ def clean_texts(df: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            done = [clean(t, frozenset(p or ())) for t, p in zip(batch.column("text").to_pylist(), batch.column("paths").to_pylist())]
+            done = [clean(t, {x["path"]: frozenset(x["words"]) for x in n or ()}) for t, n in zip(batch.column("text").to_pylist(), batch.column("noise").to_pylist())]
             blocks = [[dict(zip(("kind", "level", "start", "end"), b)) for b in bs] for _, bs in done]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("field"), batch.column("row_key"), pa.array([c for c, _ in done], pa.string()), pa.array(blocks, kind)],

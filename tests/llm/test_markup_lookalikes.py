@@ -97,6 +97,14 @@ def test_structure():
     assert blocks == [("heading", 2, "Head"), ("item", 1, "a"), ("item", 1, "b"), ("code", 0, "f(<x>)\n  y"), ("formula", 0, "\\alpha_1")]
     assert parts("\\section{Results}\nWe\\footnote{see} ran.\n\\begin{equation}\nd = \\frac{a}{b}\n\\end{equation}")[1] == [("heading", 1, "Results"), ("formula", 0, "d = \\frac{a}{b}")]
     assert parts("# Top #\n\n* **one** t\n* two\n\n```python\nx = 1\n```")[1] == [("heading", 1, "Top"), ("item", 1, "one t"), ("item", 1, "two"), ("code", 0, "x = 1")]
+    assert parts("The value \\alpha = 3 \\pm 2 was found.") == ("The value \\alpha = 3 \\pm 2 was found.", [("formula", 0, "\\alpha"), ("formula", 0, "\\pm")])
+    assert parts("so \\frac{a_{1}}{b} \\bf it is \\beta_{2}.") == ("so \\frac{a_{1}}{b} it is \\beta_{2}.", [("formula", 0, "\\frac{a_{1}}{b}"), ("formula", 0, "\\beta_{2}")])
+    assert parts("about {{nowrap|5 km}} and {{lang|Wort|italic=no}}{{cite web|url=x|title=y}}{{stub}}")[0] == "about 5 km and Wort"
+    assert parts("{{outer|a {{cite|b}} {{nowrap|c}}}}")[0] == "a c"
+    deep = "x < y"
+    for _ in range(9):
+        deep = deep.replace("&", "&amp;").replace("<", "&lt;")
+    assert parts(deep)[0] == "x < y"
     assert parts("== Wiki ==\n[[A|b]] c{{cite|id=1}}.") == ("Wiki\nb c.", [("heading", 2, "Wiki")])
     assert parts("69 % &lt;b&gt;of&lt;/b&gt; it")[0] == "69 % of it"
     assert parts("a\x02\x03\x04 <i>b</i>")[0] == "a b"
@@ -144,4 +152,5 @@ def test_copies_of_a_page_are_one_page(spark, copies):
 
 def test_branches_of_untidy_markup():
     assert [b[0] for b in M.branches("<div><p>a<p>b</div></ul><li>c")] == ["div/p/p", "div/p", "div", "li"]
-    assert M.drop_branches("<div>x</div>y<p>z", frozenset(["div", "p"])) == "y"
+    noise = {"div>1": frozenset(["x"]), "p>1": frozenset(["z"])}
+    assert M.drop_branches("<div>x</div>y<p>z", noise) == "y" and M.drop_branches("<div>own words</div>y<p>z", noise) == "<div>own words</div>y"
