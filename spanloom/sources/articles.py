@@ -1,14 +1,19 @@
-"""Structured article XML to text and a section index whose positions never move.
+"""Structured article XML to text, a section index whose positions never move, references and citation markers.
 
-Reference lists, figures, tables and formulas are dropped (what follows them stays), citation markers stay; blanks are
-collapsed within a block and blocks are joined by a blank line.  A section's labels come from its heading or type, else from the section
-it stands in, else ``other``; sections are listed inner before outer.  Input that is no article fails that row only.
+One pass over the parser's events, without a tree: a table tells by (where we are, which element begins) what an element is: a
+region, a block of text, something to pass through, or something to leave out.  Blocks carry the regions they stand in; positions
+are the running sum of the blocks' lengths, and a region's span is that of its first and last filled block.
+
+Reference lists, figures, tables and formulas are left out (what follows them stays), citation markers stay; blanks are collapsed within a
+block and blocks are joined by a blank line.  A region's labels come from its heading or type, else from the region around it, else
+``other``; regions are listed inner before outer.  Input that is no article fails that row only.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 from xml.etree import ElementTree as ET
 
 import pyarrow as pa
@@ -20,7 +25,21 @@ from spanloom.functions.text import CODE_HEADING, DATA_HEADING, HEADINGS, SECTIO
 DROPPED = frozenset((
     "ref-list", "table-wrap", "table-wrap-group", "fig", "fig-group", "graphic", "inline-graphic", "inline-formula", "disp-formula",
     "tex-math", "supplementary-material", "media"))
-_GAP = "\n\n"
+#: Titles of regions that have no heading of their own.
+NAMED = {"abstract": ("abstract", "Abstract"), "ack": ("other", "Acknowledgements")}
+HEAD = 180  # characters by which a paragraph is found again
+
+# where -> element -> what it opens there; "*" is any other element
+_OPENS = {
+    "outside": {"article": "article", "*": "outside"},
+    "article": {"front": "front", "body": "body", "back": "back", "*": "left out"},
+    "front": {"abstract": "named", "article-title": "heading", "*": "front"},
+    "body": {"sec": "region", "*": "loose"},
+    "back": {"sec": "region", "notes": "region", "ack": "named", "*": "left out"},
+    "region": {"sec": "region", "notes": "region", "title": "title", "*": "block"},
+    "block": {"*": "block"}, "left out": {"*": "left out"},
+}
+_LIKE = {"named": "block", "loose": "block", "title": "block", "heading": "block"}  # what is inside them is like a block's inside
 
 
 def labels_of(title: str | None, section_type: str | None = None) -> list[str]:
@@ -32,151 +51,195 @@ def labels_of(title: str | None, section_type: str | None = None) -> list[str]:
     return found
 
 
-def _local(e: ET.Element) -> str | None:
-    return e.tag.rsplit("}", 1)[-1] if isinstance(e.tag, str) else None
-
-
-def _pieces(e: ET.Element) -> Iterator[str]:
-    if e.text:
-        yield e.text
-    for child in e:
-        if _local(child) not in DROPPED and _local(child) is not None:
-            yield from _pieces(child)
-        if child.tail:
-            yield child.tail
-
-
-def plain(e: ET.Element) -> str:
-    return " ".join(" ".join(_pieces(e)).split())
-
+class Events:
+    """A parser target that gathers blocks, regions, references and markers."""
 
-class _Text:
     def __init__(self) -> None:
-        self.blocks: list[str] = []
-        self.length = 0
-        self.sections: list[dict] = []
-
-    @property
-    def next(self) -> int:
-        return self.length + (len(_GAP) if self.blocks else 0)
-
-    def put(self, block: str) -> None:
-        if block:
-            self.length = self.next + len(block)
-            self.blocks.append(block)
-
-    def mark(self, labels: list[str], title: str, start: int) -> None:
-        if self.length > start:
-            self.sections.append({"labels": labels, "title": title, "start": start, "end": self.length})
-
-
-def _first(e: ET.Element, *path: str) -> ET.Element | None:
-    for name in path:
-        e = next((x for x in e.iter() if _local(x) == name), None)
-        if e is None:
-            return None
-    return e
-
-
-def _section(e: ET.Element, outer: list[str], out: _Text) -> None:
-    head = next((x for x in e if _local(x) == "title"), None)
-    title = plain(head) if head is not None else ""
-    labels = labels_of(title, e.get("sec-type") or e.get("notes-type")) or outer or ["other"]
-    start = out.next
-    out.put(title)
-    for child in e:
-        kind = _local(child)
-        if kind in ("sec", "notes"):
-            _section(child, labels, out)
-        elif kind not in DROPPED and kind not in (None, "title"):
-            out.put(plain(child))
-    out.mark(labels, title, start)
+        self.where = ["outside"]
+        self.names: list[str] = []
+        self.seen: set[str] = set()
+        self.blocks: list[tuple[list[str], int]] = []  # pieces, region
+        self.regions: list[dict] = []  # kind, title slot, type, parent, labels
+        self.inside: list[int] = []  # the open regions
+        self.loose: int | None = None
+        self.heading: list[str] | None = None
+        self.closed: list[int] = []
+        self.takers: list[tuple[int, list[str], str]] = []  # open elements that take text: depth, pieces, what for
+        self.paragraphs: list[list[str]] = []
+        self.refs: dict[str, dict[str, str]] = {}
+        self.marks: list[tuple[list[str], list[str], list[str]]] = []  # ids, paragraph, marker
+        self.ref = ""
+
+    def _region(self, kind: str, type_: str | None = None) -> int:
+        self.regions.append({"kind": kind, "type": type_, "title": None, "parent": self.inside[-1] if self.inside else None})
+        return len(self.regions) - 1
+
+    def _take(self, pieces: list[str], use: str) -> None:
+        self.takers.append((len(self.names), pieces, use))
+
+    def _block(self, region: int) -> None:
+        self.blocks.append(([], region))
+        self._take(self.blocks[-1][0], "block")
+
+    def start(self, tag: str, attributes: dict[str, str]) -> None:
+        name, at = tag.rsplit("}", 1)[-1], self.where[-1]
+        self.names.append(name)
+        self._part()
+        opens = _OPENS[_LIKE.get(at, at)]
+        what = opens.get(name, opens["*"])
+        if name in DROPPED and at != "outside":
+            what = "left out"
+        elif at in ("article", "outside") and what in _OPENS and what != "left out" and name in ("article", "front", "body", "back"):
+            what = "left out" if name in self.seen else what  # the first of each counts
+            self.seen.add(name)
+        elif what == "region":
+            if at == "body":
+                self._end_loose()
+            self.inside.append(self._region("section", attributes.get("sec-type") or attributes.get("notes-type")))
+            self.blocks.append(([], self.inside[-1]))  # its title's place
+            self.regions[self.inside[-1]]["slot"] = len(self.blocks) - 1
+        elif what == "title":
+            region = self.regions[self.inside[-1]]
+            if region["title"] is None:
+                region["title"] = self.blocks[region["slot"]][0]
+                self._take(region["title"], "block")
+            else:
+                what = "left out"
+        elif what == "named":
+            self._block(self._region(name))
+        elif what == "loose":
+            self.loose = self._region("loose") if self.loose is None else self.loose
+            self._block(self.loose)
+        elif what == "block" and at == "region":
+            self._block(self.inside[-1])
+        elif what == "heading":
+            self.heading, what = ([], what) if self.heading is None else (self.heading, "left out")
+            if what == "heading":
+                self._take(self.heading, "block")
+        self.where.append(what)
+        if "article" in self.seen:
+            self._citation(name, attributes)
+
+    def _citation(self, name: str, attributes: dict[str, str]) -> None:
+        if name in ("p", "title"):
+            self.paragraphs.append([])
+            self._take(self.paragraphs[-1], "paragraph")
+        elif name == "xref":
+            marker: list[str] = []
+            around = next((pieces for _, pieces, use in reversed(self.takers) if use == "paragraph"), None)
+            if around is not None:
+                self.marks.append(((attributes.get("rid") or "").split(), around, marker))
+            self._take(marker, "marker")
+        elif name == "ref":
+            self.ref = attributes.get("id") or ""
+        elif name == "pub-id" and self.ref:
+            kind = (attributes.get("pub-id-type") or "").lower()
+            if kind in ("doi", "pmid"):
+                self._take([], f"id {kind}")
+
+    def _part(self) -> None:
+        """An element's edge parts the text on its two sides."""
+        for _, pieces, use in self.takers:
+            if use != "block" or self.where[-1] != "left out":
+                pieces.append(" ")
+
+    def data(self, text: str) -> None:
+        for _, pieces, use in self.takers:
+            if use != "block" or self.where[-1] != "left out":
+                pieces.append(text)
+
+    def end(self, tag: str) -> None:
+        name, what = self.names.pop(), self.where.pop()
+        while self.takers and self.takers[-1][0] > len(self.names):
+            _, pieces, use = self.takers.pop()
+            if use.startswith("id ") and (value := "".join(pieces).strip()):
+                self.refs.setdefault(self.ref, {})[use[3:]] = value
+        if name == "ref":
+            self.ref = ""
+        if what == "region":
+            self.closed.append(self.inside.pop())
+        elif what == "named":
+            self.closed.append(len(self.regions) - 1)
+        elif what == "body":
+            self._end_loose()
+        self._part()
+
+    def _end_loose(self) -> None:
+        if self.loose is not None:
+            self.closed.append(self.loose)
+            self.loose = None
+
+    def close(self) -> Events:
+        return self
+
+    def parts(self) -> dict:
+        """{doc_title, text, sections, refs, marks}."""
+        texts = [_squeezed(pieces) for pieces, _ in self.blocks]
+        filled = [i for i, t in enumerate(texts) if t]
+        starts = dict(zip(filled, accumulate((len(texts[i]) + 2 for i in filled), initial=0)))
+        spans: dict[int, tuple[int, int]] = {}
+        for i in filled:
+            region: int | None = self.blocks[i][1]
+            while region is not None:
+                spans[region] = spans.get(region, (starts[i], 0))[0], starts[i] + len(texts[i])
+                region = self.regions[region]["parent"]
+        titles, labels = {}, {}
+        for k, r in enumerate(self.regions):  # the outer before the inner
+            named = NAMED.get(r["kind"], ("other", ""))
+            titles[k] = _squeezed(r["title"] or []) if r["kind"] == "section" else named[1]
+            labels[k] = (labels_of(titles[k], r["type"]) or labels.get(r["parent"], ["other"])) if r["kind"] == "section" else [named[0]]
+        sections = [{"labels": labels[k], "title": titles[k], "start": spans[k][0], "end": spans[k][1]} for k in self.closed if k in spans]
+        refs = [{"rid": k, "doi": v["doi"].lower().removeprefix("https://doi.org/") if "doi" in v else None, "pmid": v.get("pmid")} for k, v in self.refs.items()]
+        marks = [{"rids": ids, "head": _squeezed(around), "marker": _squeezed(own)} for ids, around, own in self.marks if ids]
+        marks = [m | {"head": m["head"][:HEAD], "inside": m["head"].find(m["marker"]) if m["marker"] else -1} for m in marks if len(m["head"]) >= 20]
+        return {"doc_title": _squeezed(self.heading or []) or None, "text": "\n\n".join(texts[i] for i in filled), "sections": sections, "refs": refs, "marks": marks}
+
+
+def _squeezed(pieces: list[str]) -> str:
+    return " ".join("".join(pieces).split())
 
 
 def parse_article(xml: bytes | str) -> dict:
-    """{doc_title, text, sections} of one article; raises ValueError where there is none."""
+    """{doc_title, text, sections, refs, marks} of one article; raises ValueError where there is none."""
     try:
-        root = ET.fromstring(xml)
+        parser = ET.XMLParser(target=Events())
+        parser.feed(xml)
+        found = parser.close()
     except ET.ParseError as e:
         raise ValueError(f"not well-formed: {e}") from None
-    article = root if _local(root) == "article" else _first(root, "article")
-    if article is None:
+    if "article" not in found.seen:
         raise ValueError("no article element")
-    out = _Text()
-    top = {_local(x): x for x in reversed(list(article))}
-    front, body, back = (top.get(k) for k in ("front", "body", "back"))
-    title = _first(front, "article-title") if front is not None else None
-    for abstract in (x for x in (front.iter() if front is not None else ()) if _local(x) == "abstract"):
-        start = out.next
-        out.put(plain(abstract))
-        out.mark(["abstract"], "Abstract", start)
-    loose = None
-    for child in body if body is not None else ():
-        kind = _local(child)
-        if kind == "sec":
-            if loose is not None:
-                out.mark(["other"], "", loose)
-                loose = None
-            _section(child, [], out)
-        elif kind is not None and kind not in DROPPED:
-            loose = out.next if loose is None else loose
-            out.put(plain(child))
-    if loose is not None:
-        out.mark(["other"], "", loose)
-    for child in back if back is not None else ():
-        if _local(child) in ("sec", "notes"):
-            _section(child, [], out)
-        elif _local(child) == "ack":
-            start = out.next
-            out.put(plain(child))
-            out.mark(["other"], "Acknowledgements", start)
-    return {"doc_title": plain(title) or None if title is not None else None, "text": _GAP.join(out.blocks), "sections": out.sections}
-
-
-def citation_anchors(xml: bytes | str, text: str, dois: frozenset[str], pmids: frozenset[str]) -> list[tuple[int, int]]:
-    """Positions of citation markers whose reference is one of the given works; one for every paragraph of 20 or more characters."""
-    root = ET.fromstring(xml)
-    wanted = set()
-    for ref in (x for x in root.iter() if _local(x) == "ref" and x.get("id")):
-        for pub in (x for x in ref.iter() if _local(x) == "pub-id" and x.text):
-            kind, value = (pub.get("pub-id-type") or "").lower(), pub.text.strip()
-            if kind == "doi" and value.lower().removeprefix("https://doi.org/") in dois or kind == "pmid" and value in pmids:
-                wanted.add(ref.get("id"))
-    parent = {c: p for p in root.iter() for c in p}
-    found, seen = [], set()
-    for mark in (x for x in root.iter() if _local(x) == "xref" and wanted & set((x.get("rid") or "").split())):
-        p = parent.get(mark)
-        while p is not None and _local(p) not in ("p", "title"):
-            p = parent.get(p)
-        words = plain(p) if p is not None else ""
-        at = text.find(words[:180]) if len(words) >= 20 else -1
-        if at < 0 or at in seen:
-            continue
-        seen.add(at)
-        label = plain(mark)
-        inside = words.find(label) if label else -1
-        start = at + (inside if 0 <= inside < 180 else 0)
-        found.append((start, start + max(len(label), 1)))
-    return found
+    return found.parts()
 
 
-_SECTIONS = pa.list_(pa.struct([("labels", pa.list_(pa.string())), ("title", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+_SCHEMA = {
+    "doc_title": (pa.string(), "string"), "text": (pa.string(), "string"),
+    "sections": (pa.list_(pa.struct([("labels", pa.list_(pa.string())), ("title", pa.string()), ("start", pa.int32()), ("end", pa.int32())])),
+                 "array<struct<labels:array<string>,title:string,start:int,`end`:int>>"),
+    "refs": (pa.list_(pa.struct([("rid", pa.string()), ("doi", pa.string()), ("pmid", pa.string())])), "array<struct<rid:string,doi:string,pmid:string>>"),
+    "marks": (pa.list_(pa.struct([("rids", pa.list_(pa.string())), ("head", pa.string()), ("marker", pa.string()), ("inside", pa.int32())])),
+              "array<struct<rids:array<string>,head:string,marker:string,inside:int>>"),
+}
 
 
-def parse_articles(files: DataFrame) -> DataFrame:
-    """(doc_id, doc_title, text, sections, error) of rows (doc_id, content); a row that fails keeps its error, not the job."""
+def article_parts(files: DataFrame) -> DataFrame:
+    """(doc_id, doc_title, text, sections, refs, marks, error) of rows (doc_id, content); a row that fails keeps its error, not the job."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
+            made, errors = [], []
             for content in batch.column(1).to_pylist():
                 try:
-                    rows.append((parse_article(content or b""), None))
+                    made.append(parse_article(content or b""))
+                    errors.append(None)
                 except ValueError as e:
-                    rows.append(({"doc_title": None, "text": None, "sections": None}, str(e)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([r["doc_title"] for r, _ in rows], pa.string()), pa.array([r["text"] for r, _ in rows], pa.string()),
-                 pa.array([r["sections"] for r, _ in rows], _SECTIONS), pa.array([e for _, e in rows], pa.string())],
-                ["doc_id", "doc_title", "text", "sections", "error"])
-
-    return files.select("doc_id", "content").mapInArrow(
-        run, "doc_id string, doc_title string, text string, sections array<struct<labels:array<string>,title:string,start:int,`end`:int>>, error string")
+                    made.append(dict.fromkeys(_SCHEMA))
+                    errors.append(str(e))
+            columns = [pa.array([m[k] for m in made], kind) for k, (kind, _) in _SCHEMA.items()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns, pa.array(errors, pa.string())], ["doc_id", *_SCHEMA, "error"])
+
+    return files.select("doc_id", "content").mapInArrow(run, "doc_id string, " + ", ".join(f"{k} {ddl}" for k, (_, ddl) in _SCHEMA.items()) + ", error string")
+
+
+def parse_articles(files: DataFrame) -> DataFrame:
+    """(doc_id, doc_title, text, sections, error), see :func:`article_parts`."""
+    return article_parts(files).select("doc_id", "doc_title", "text", "sections", "error")

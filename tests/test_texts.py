@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from spanloom.functions import text as X
 from spanloom.operators import candidates as C
 from spanloom.operators.align import align, locate
-from spanloom.sources.articles import citation_anchors, labels_of, parse_article, parse_articles
+from spanloom.sources.articles import article_parts, labels_of, parse_article, parse_articles
 
 ARTICLE = """<article><front><article-meta><title-group><article-title>A <i>study</i></article-title></title-group><abstract><p>Short  view.</p></abstract></article-meta></front>
 <body><p>Loose words.</p><sec sec-type="intro"><title>Start</title><p>See <xref rid="r1">1</xref> for the earlier work on maps.<fig><p>gone</p></fig> Tail kept.</p></sec>
@@ -25,9 +25,41 @@ def test_article_sections_and_positions():
     assert at["What was done"][1].endswith("In the vault.")
     assert at["Acknowledgements"] == (["other"], "Thanks.")
     assert [s["title"] for s in p["sections"]].index("Details") < [s["title"] for s in p["sections"]].index("What was done")
-    start, end = citation_anchors(ARTICLE, p["text"], frozenset(["10.5/abc"]), frozenset())[0]
-    assert p["text"][start:end] == "1"
-    assert citation_anchors(ARTICLE, p["text"], frozenset(), frozenset(["9"])) == []
+    assert [s["title"] for s in p["sections"]] == ["Abstract", "", "Start", "Details", "Data and code availability", "What was done", "Acknowledgements"]
+
+
+def test_article_with_late_title_stray_text_and_inner_article():
+    p = parse_article("""<set xmlns="urn:x"><article><!-- c --><body>stray<sec>stray<p>H<sub>2</sub>O</p><title>Findings</title><title>Again</title></sec><p>a</p><list><p>b</p><p>c</p></list></body>
+        <sub-article><body><p>not this</p></body></sub-article><body><p>nor this</p></body></article><article><body><p>nor that</p></body></article></set>""")
+    assert p["text"] == "Findings\n\nH 2 O\n\na\n\nb c" and p["doc_title"] is None
+    assert [(s["labels"], s["title"], p["text"][s["start"]:s["end"]]) for s in p["sections"]] == [(["results"], "Findings", "Findings\n\nH 2 O"), (["other"], "", "a\n\nb c")]
+    assert parse_article("<article/>") == {"doc_title": None, "text": "", "sections": [], "refs": [], "marks": []}
+
+
+def test_citation_anchors(spark):
+    long = "word " * 60
+    plain = ARTICLE.replace("<fig><p>gone</p></fig>", "")
+    second = plain.replace("<p>Thanks.</p>", f'<p>{long}<xref rid="r1 r2">2</xref> and <xref rid="r2">3</xref></p><p>short <xref rid="r1">1</xref></p>').replace(
+        "<ref-list>", '<ref-list><ref id="r2"><pub-id pub-id-type="pmid">77</pub-id></ref><ref><pub-id pub-id-type="doi">10.5/abc</pub-id></ref>')
+    parts = article_parts(spark.createDataFrame([("a", plain.encode()), ("b", second.encode()), ("c", b"<no"), ("f", ARTICLE.encode())], "doc_id string, content binary"))
+    texts = {r.doc_id: r.text for r in parts.collect()}
+
+    def found(*corpus):
+        return sorted((r.doc_id, texts[r.doc_id][r.start:r.end], r.start) for r in C.citation_anchors(parts, spark.createDataFrame(list(corpus), "doi string, pmid string")).collect())
+
+    # a paragraph is found by all its characters, so one that loses a figure among the first of them is not (f)
+    at = {k: t.find("1 for the earlier") for k, t in texts.items() if t}
+    assert found(("10.5/ABC", None)) == [("a", "1", at["a"]), ("b", "1", at["b"]), ("b", "w", texts["b"].find("word word"))]  # a far marker: its paragraph's start
+    assert found((None, "77")) == [("b", "w", texts["b"].find("word word"))] and found((None, "9")) == []
+
+
+def test_values_of_the_corpus(spark):
+    rec = spark.createDataFrame([("d", "data_availability", {"direction": "released", "accession": "(VLT1); ab (xy)."}), ("e", "data_availability", {"direction": "released", "accession": "OTHER1"})],
+                                "doc_id string, extraction_class string, attributes map<string,string>")
+    hits = spark.createDataFrame([("d", "k", "H1"), ("e", "k", "H2")], "doc_id string, kind string, value string")
+    corpus = spark.createDataFrame([("d",)], "doc_id string")
+    assert {r.value for r in C.known_values(rec, hits, corpus).collect()} == {"VLT1", "xy"}
+    assert {r.value for r in C.known_values(rec.limit(0), hits, corpus).collect()} == {"H1"}
 
 
 def test_broken_article_fails_its_row_only(spark):
