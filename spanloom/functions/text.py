@@ -77,9 +77,27 @@ def first_filled(*columns: Column) -> Column:
     return F.coalesce(*[F.nullif(c, F.lit("")) for c in columns])
 
 
+#: Fixed value: where a date has its year, in any delivered spelling (ISO, slashes, digits alone, month names).
+YEAR = "(^|[^0-9])([12][0-9][0-9][0-9])([0-9][0-9][0-9][0-9])?([^0-9]|$)"
+#: Availability of a text.
+STATUSES = ["fulltext", "abstract_only", "preprint_requester_pays_pending", "unavailable", "unresolved"]
+
+
 def year_of(c: Column) -> Column:
-    """The year in an ISO date's first four characters; null if they are none."""
-    return F.substring(c, 1, 4).try_cast("int")
+    """The year of a date in any delivered spelling; null where there is none."""
+    return F.nullif(F.regexp_extract(c, YEAR, 2), F.lit("")).cast("int")
+
+
+def status_form(c: Column) -> Column:
+    """The availability in its stored spelling, whatever case, blanks and separators it came with; other values as they are."""
+    letters = F.regexp_replace(F.lower(c), "[^a-z]", "")
+    at = F.array_position(F.array(*[F.lit(x.replace("_", "")) for x in STATUSES]), letters)
+    return F.when(at > 0, F.element_at(F.array(*map(F.lit, STATUSES)), F.nullif(at, F.lit(0)).cast("int"))).otherwise(c)
+
+
+def listed(c: Column) -> Column:
+    """A value that may hold several, separated by ``;``, as an array without blanks and empty parts; null for null."""
+    return F.filter(F.transform(F.split(c, ";"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def month_prefix(day: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from spanloom.functions.ids import edge_id
-from spanloom.functions.text import doi_prefix, heading_labels, squeeze, title_form, year_of
+from spanloom.functions.text import doi_prefix, heading_labels, squeeze, status_form, title_form, year_of
 from spanloom.operators import works as K
 from spanloom.sources.tables import table
 
@@ -30,7 +30,7 @@ def _latest(spark: SparkSession, root: str, *columns: str) -> DataFrame:
 
     The columns are chosen before the aggregate, so the scan reads no others.
     """
-    p = table(spark, root, "publications").select("doc_id", "row_id", "oa_status", *columns)
+    p = table(spark, root, "publications").select("doc_id", "row_id", status_form(F.col("oa_status")).alias("oa_status"), *columns)
     full = F.coalesce((F.col("oa_status") == "fulltext").cast("int"), F.lit(0))
     return K.keep_best(p, "doc_id", [-full, F.col("row_id")])
 
@@ -99,7 +99,11 @@ def id_map_join(spark: SparkSession, root: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (heading_classes, squeezed_abstracts, keep_best_row, preprint_collapse, author_overlap, citation_edges, edge_ids, kind_counts, seed_centres, reach, id_map_join)}
 
-_LATEST = """latest AS (SELECT * FROM publications QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY CASE WHEN oa_status = 'fulltext' THEN 0 ELSE 1 END, row_id) = 1)"""
+_STATUS = """CASE regexp_replace(lower(oa_status), '[^a-z]', '', 'g') WHEN 'fulltext' THEN 'fulltext' WHEN 'abstractonly' THEN 'abstract_only' WHEN 'unavailable' THEN 'unavailable'
+    WHEN 'preprintrequesterpayspending' THEN 'preprint_requester_pays_pending' WHEN 'unresolved' THEN 'unresolved' ELSE oa_status END"""
+_LATEST = f"""latest AS (SELECT * REPLACE ({_STATUS} AS oa_status) FROM publications
+    QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY CASE WHEN {_STATUS} = 'fulltext' THEN 0 ELSE 1 END, row_id) = 1)"""
+_YEAR = """coalesce(TRY_CAST(substr(pub_date, 1, 4) AS INT), TRY_CAST(right(pub_date, 4) AS INT))"""
 _B = "[\\t\\n\\x0b\\x0c\\r \\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]+"
 
 SQL = {
@@ -114,7 +118,7 @@ SQL = {
             WHEN regexp_matches(title, '(?i)(\bintroduction\b|\bbackground\b)') THEN 'introduction' WHEN regexp_matches(title, '(?i)\babstract\b') THEN 'abstract' ELSE '' END AS labels FROM f""",
     "squeezed_abstracts": f"""
         SELECT row_id, trim(regexp_replace(abstract, '{_B}', ' ', 'g')) AS abstract, coalesce(substr(regexp_replace(lower(title), '[^a-z0-9]', '', 'g'), 1, 90), '') AS form,
-               CASE WHEN coalesce(doi, '') <> '' THEN split_part(doi, '/', 1) END AS prefix, TRY_CAST(substr(pub_date, 1, 4) AS INT) AS year
+               CASE WHEN coalesce(doi, '') <> '' THEN split_part(doi, '/', 1) END AS prefix, {_YEAR} AS year
         FROM publications WHERE abstract IS NOT NULL""",
     "keep_best_row": f"WITH {_LATEST} SELECT doc_id, row_id, oa_status, title FROM latest",
     "preprint_collapse": f"""
