@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from spanloom.functions.text import first_filled
+from spanloom.functions.text import article_id, first_filled, month_prefix, short_pmcid, status_form
 from spanloom.operators.works import author_overlap, availability, edges_to, flat_works, keep_best
 
 
@@ -18,6 +18,36 @@ def met_by_ids(seed: DataFrame, works: DataFrame) -> DataFrame:
     return a.unionByName(b.select(*a.columns)).drop("_pmid", "_doi", "_n")
 
 
+def with_pmcids(documents: DataFrame, ids: DataFrame) -> DataFrame:
+    """Missing archive ids from a table of (pmid, pmcid); of several for one PMID the first in order."""
+    own = ids.where("pmid IS NOT NULL AND pmcid IS NOT NULL").groupBy("pmid").agg(F.min(short_pmcid(F.col("pmcid"))).alias("_pmcid"))
+    return documents.join(own, "pmid", "left").withColumn("pmcid", first_filled(F.col("pmcid"), F.col("_pmcid"))).drop("_pmcid")
+
+
+def pending_by_month(documents: DataFrame, held: DataFrame) -> DataFrame:
+    """(month, article_id, doc_id) of preprints still to be fetched: pending ones with a DOI and a date whose text is not held."""
+    waiting = documents.where((status_form(F.col("oa_status")) == "preprint_requester_pays_pending") & F.col("doi").isNotNull())
+    day = F.coalesce(F.col("pub_date").try_cast("date"), F.try_to_timestamp("pub_date", F.lit("yyyyMMdd")).cast("date"), F.try_to_timestamp("pub_date", F.lit("yyyy/MM/dd")).cast("date"))
+    rows = waiting.select("doc_id", month_prefix(day).alias("month"), article_id(F.col("doi")).alias("article_id")).where("month IS NOT NULL").distinct()
+    return rows.join(held.select("doc_id").distinct(), "doc_id", "left_anti")
+
+
+def sweep(months: DataFrame, fetch, store: str) -> dict[str, str]:
+    """Fetch month after month and append each to the table ``store`` (doc_id, month, content): an interrupted sweep goes on where
+    it stopped, and a month that fails is told and does not stop the others.
+
+    ``fetch`` takes the month's rows (article_id, doc_id) and gives (doc_id, content).  Only the names of months reach the driver.
+    """
+    told = {}
+    for month in [r["month"] for r in months.select("month").distinct().orderBy("month").collect()]:
+        try:
+            fetch(months.where(F.col("month") == month).drop("month")).select("doc_id", F.lit(month).alias("month"), "content").write.mode("append").parquet(store)
+            told[month] = "done"
+        except Exception as e:  # noqa: BLE001
+            told[month] = f"failed: {type(e).__name__}"
+    return told
+
+
 def fill_abstracts(documents: DataFrame, *sources: DataFrame) -> DataFrame:
     """Missing abstracts from the sources (doc_id, abstract) in their order, tags removed."""
     out = documents

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from spanloom.functions.ids import record_id, short_hash
@@ -21,6 +25,7 @@ def harvest(responses: DataFrame, key_index: DataFrame, parsed: DataFrame, p: Pa
     Keys that are not in the index are counted and left out.
     """
     r = responses.join(key_index.select("key", "doc_id", "window_start"), "key", "left").withColumn("good", F.try_parse_json("body").isNotNull())
+    r = with_issues(r, p)
     known = r.where("doc_id IS NOT NULL")
     lists = []
     for name, c in p.classes.items():
@@ -66,7 +71,7 @@ def harvest(responses: DataFrame, key_index: DataFrame, parsed: DataFrame, p: Pa
     share = lambda c: F.round(F.try_divide(c, F.count(F.lit(1))), 4)
     summary = r.agg(
         F.lit(run_id).alias("run_id"), F.count(F.lit(1)).alias("n_responses"), F.count_if(F.col("finish") == "STOP").alias("n_stop"), share(F.count_if(F.col("finish") == "STOP")).alias("stop_share"),
-        F.count_if(F.col("finish") == "MAX_TOKENS").alias("n_max_tokens"), F.count_if(F.col("doc_id").isNull()).alias("n_unknown_keys"), F.sum("tokens_in").alias("tokens_in"), F.sum("tokens_out").alias("tokens_out"))
+        F.count_if(F.col("finish") == "MAX_TOKENS").alias("n_max_tokens"), F.count_if(F.col("doc_id").isNull()).alias("n_unknown_keys"), F.count_if(F.size("issues") > 0).alias("n_invalid"), F.sum("tokens_in").alias("tokens_in"), F.sum("tokens_out").alias("tokens_out"))
     counts = records.agg(F.count_if(F.col("source_quote") != "").alias("extracted"), F.count_if(F.col("source_quote") == "").alias("absences"))
     lost = rejected.agg(F.count(F.lit(1)).alias("rejected"))
     one = lambda df: df.withColumn("_k", F.lit(1))
@@ -74,11 +79,28 @@ def harvest(responses: DataFrame, key_index: DataFrame, parsed: DataFrame, p: Pa
     return {"records": records, "rejected": rejected, "summary": summary}
 
 
-def verdicts(responses: DataFrame, model: str, tag: str) -> DataFrame:
-    """(record_id, verdict, confidence, reason, judge_model, tag) of judge responses that ended and name a known verdict."""
-    kind = "struct<verdicts:array<struct<record_id:string,verdict:string,confidence:double,reason:string>>>"
-    told = responses.where("finish = 'STOP'").select(F.explode(F.from_json("body", kind)["verdicts"]).alias("v")).select("v.*")
-    return told.where("verdict IN ('confirmed', 'rejected', 'uncertain')").withColumns({"judge_model": F.lit(model), "tag": F.lit(tag)})
+def finish_counts(responses: DataFrame) -> DataFrame:
+    """(finish, n, tokens_in, tokens_out) of responses by how they ended."""
+    return responses.groupBy("finish").agg(F.count(F.lit(1)).alias("n"), F.sum("tokens_in").alias("tokens_in"), F.sum("tokens_out").alias("tokens_out"))
+
+
+def with_issues(responses: DataFrame, p: Pass) -> DataFrame:
+    """``responses`` with what is structurally wrong with each body (``issues``; a body that is no JSON is one issue); no shuffle."""
+    columns = [c for c in responses.columns if c != "issues"]
+
+    def wrong(body: str | None) -> list[str]:
+        try:
+            return p.issues(json.loads(body or ""))
+        except ValueError:
+            return ["no JSON"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = pa.array([wrong(b) for b in batch.column("body").to_pylist()], pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), found], [*columns, "issues"])
+
+    rows = responses.select(*columns)
+    return rows.mapInArrow(run, rows.withColumn("issues", F.array().cast("array<string>")).schema)
 
 
 def canary_picks(windows: DataFrame, priority: str, n: int = 2) -> DataFrame:
@@ -88,5 +110,5 @@ def canary_picks(windows: DataFrame, priority: str, n: int = 2) -> DataFrame:
 
 
 def canary_passes(summary: DataFrame) -> DataFrame:
-    """One row, ``ok``: every response ended and parsed, and at least one quotation was found in its source."""
-    return summary.select(((F.col("n_stop") == F.col("n_responses")) & (F.col("n_responses") > 0) & (F.col("extracted") > 0)).alias("ok"))
+    """One row, ``ok``: every response ended and is as the pass wants it, and at least one quotation was found in its source."""
+    return summary.select(((F.col("n_stop") == F.col("n_responses")) & (F.col("n_responses") > 0) & (F.col("n_invalid") == 0) & (F.col("extracted") > 0)).alias("ok"))

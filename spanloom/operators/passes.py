@@ -111,7 +111,14 @@ class Pass:
         return out
 
     def drift(self, cls: str, attributes: Column) -> Column:
-        return drift(attributes, {a.name: a.values for a in self.classes[cls].attributes.values()})
+        own = self.classes[cls].attributes.values()
+        return drift(attributes, {a.name: a.values for a in own}, [a.name for a in own if a.type == "array"])
+
+
+def request_config(schema: dict, most: int = MOST_OUTPUT) -> Column:
+    """The settings of a request as an object."""
+    config = F.lit(json.dumps({"responseMimeType": "application/json", "responseSchema": schema, "temperature": TEMPERATURE, "maxOutputTokens": most}))
+    return F.from_json(config, F.schema_of_json(config))
 
 
 def requests(texts: DataFrame, p: Pass, windows: DataFrame | None = None, preamble: str | None = None) -> DataFrame:
@@ -123,8 +130,7 @@ def requests(texts: DataFrame, p: Pass, windows: DataFrame | None = None, preamb
     t = texts.where("text IS NOT NULL").select("doc_id", "text")
     w = fixed_windows(t, F.length("text"), p.window_chars) if windows is None else t.join(windows, "doc_id")
     body = F.concat(F.lit(before), piece(F.col("text"), F.col("window_start"), F.col("window_end")), F.lit(after))
-    config = json.dumps({"responseMimeType": "application/json", "responseSchema": p.response_schema(), "temperature": TEMPERATURE, "maxOutputTokens": MOST_OUTPUT})
-    request = F.struct(F.array(F.struct(F.lit("user").alias("role"), F.array(F.struct(body.alias("text"))).alias("parts"))).alias("contents"), F.lit(config).alias("generationConfig"))
+    request = F.struct(F.array(F.struct(F.lit("user").alias("role"), F.array(F.struct(body.alias("text"))).alias("parts"))).alias("contents"), request_config(p.response_schema()).alias("generationConfig"))
     return w.select(F.concat_ws("|", "doc_id", "window_index", "window_start").alias("key"), "doc_id", "window_index", "window_start", "window_end", request.alias("request"))
 
 

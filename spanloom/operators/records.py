@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from spanloom.functions.ids import record_id
+from spanloom.functions.text import listed
 from spanloom.operators.works import keep_best
 
 #: Alignment statuses from best to worst; values that state nothing.
@@ -41,10 +42,21 @@ def absences(documents: DataFrame, records: DataFrame, defaults: dict[str, dict[
         F.lit("").alias("source_quote"), zero.alias("char_start"), zero.alias("char_end"), F.lit("none").alias("source_section"), F.lit("match_exact").alias("alignment_status"), filled.alias("attributes"))
 
 
-def drift(attributes: Column, vocabularies: dict[str, list[str]]) -> Column:
-    """``name=value`` for every value outside its closed list, in the order of the attributes; nulls never drift."""
-    found = [F.when(attributes[a].isNotNull() & ~attributes[a].isin(list(v)), F.concat(F.lit(f"{a}="), attributes[a])) for a, v in vocabularies.items() if v]
-    return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
+def several(value: Column) -> Column:
+    """The values of a list-valued attribute: a JSON array, or values separated by ``;``."""
+    return F.coalesce(F.from_json(F.when(value.startswith("["), value), "array<string>"), listed(value))
+
+
+def drift(attributes: Column, vocabularies: dict[str, list[str]], lists: list[str] = ()) -> Column:
+    """``name=value`` for every value outside its closed list, in the order of the attributes, each value of ``lists`` for itself;
+    nulls never drift."""
+    def outside(a: str, closed: list[str]) -> Column:
+        values = several(attributes[a]) if a in lists else F.array(attributes[a])
+        named = F.transform(F.filter(F.array_compact(values), lambda x: ~x.isin(closed)), lambda x: F.concat(F.lit(f"{a}="), x))
+        return F.coalesce(named, F.array().cast("array<string>"))
+
+    found = [outside(a, list(v)) for a, v in vocabularies.items() if v]
+    return F.flatten(F.array(*found)) if found else F.array().cast("array<string>")
 
 
 def population(records: DataFrame) -> DataFrame:
@@ -56,8 +68,18 @@ def population(records: DataFrame) -> DataFrame:
     return per.join(total, "extraction_class").select("extraction_class", "attribute", F.round(F.col("k") / F.col("n"), 3).alias("share"))
 
 
-def gold_table(records: DataFrame, documents: DataFrame, cls: str, attributes: list[str]) -> DataFrame:
-    """The flat table of one class: documents by left join, one column per attribute and per canonical attribute."""
+def attribute_names(records: DataFrame, cls: str) -> list[str]:
+    """The attributes that any record of a class has, in order; as many as the class defines."""
+    keys = records.where(F.col("extraction_class") == cls).select(F.explode(F.map_keys("attributes")).alias("a")).distinct()
+    return sorted(r["a"] for r in keys.collect())
+
+
+def gold_table(records: DataFrame, documents: DataFrame, cls: str, attributes: list[str] | None = None) -> DataFrame:
+    """The flat table of one class: documents by left join, one column per attribute and per canonical attribute.
+
+    Without ``attributes`` the columns are those the class's records have.
+    """
+    attributes = attribute_names(records, cls) if attributes is None else attributes
     docs = documents.select("doc_id", "doc_type", "group_key", "pub_date", "venue", "author_overlap")
     r = records.where(F.col("extraction_class") == cls).where("judge_verdict IS DISTINCT FROM 'rejected'")
     plain = [F.coalesce(F.col("attributes")[a], F.lit("")).alias(a) for a in sorted(attributes)]
@@ -67,13 +89,19 @@ def gold_table(records: DataFrame, documents: DataFrame, cls: str, attributes: l
         "judge_verdict", F.coalesce(F.array_join("enum_drift", ";"), F.lit("")).alias("enum_drift"), "evidence_scope", "run_id", "record_id")
 
 
-def surface_values(records: DataFrame, sets: dict[str, list[str]]) -> DataFrame:
-    """(value_set, surface_form): distinct stated values of the attributes that share a vocabulary."""
-    pairs = [F.struct(F.lit(s).alias("value_set"), F.col("attributes")[a].alias("surface_form")) for s, attributes in sorted(sets.items()) for a in attributes]
-    out = records.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
+def surface_values(records: DataFrame, sets: dict[str, list[str]], lists: list[str] = ()) -> DataFrame:
+    """(value_set, surface_form): distinct stated values of the attributes that share a vocabulary, each value of ``lists`` for itself."""
+    one = lambda a: several(F.col("attributes")[a]) if a in lists else F.array(F.col("attributes")[a])
+    pairs = [F.struct(F.lit(s).alias("value_set"), one(a).alias("forms")) for s, attributes in sorted(sets.items()) for a in attributes]
+    out = records.select(F.explode(F.array(*pairs)).alias("p")).select("p.value_set", F.explode("p.forms").alias("surface_form"))
     return out.where(F.col("surface_form").isNotNull() & ~F.col("surface_form").isin(SENTINELS)).distinct()
 
 
+def latest_forms(vocabulary: DataFrame, order: str) -> DataFrame:
+    """One canonical form per (value_set, surface_form): the one told last by ``order``."""
+    return vocabulary.groupBy("value_set", "surface_form").agg(F.max_by("canonical_form", F.struct(order, "canonical_form")).alias("canonical_form"))
+
+
 def compose(first: DataFrame, second: DataFrame) -> DataFrame:
     """A vocabulary followed by a consolidation of its canonical forms: surface -> canonical -> consolidated."""
     s = second.select("value_set", F.col("surface_form").alias("canonical_form"), F.col("canonical_form").alias("_c"))
@@ -113,6 +141,23 @@ def request_parts(records: DataFrame, line: Column, size: int = 200) -> DataFram
     return grouped.select("doc_id", "part", "n_records", F.array_join(F.transform("items", lambda x: x["_line"]), "\n").alias("body"))
 
 
+def precision_by_class(labels: DataFrame, records: DataFrame) -> DataFrame:
+    """(extraction_class, n, precision) of human labels (record_id, human_label): the share of correct among correct and incorrect ones."""
+    own = records.select("record_id", "extraction_class").distinct()
+    told = labels.where("human_label IN ('correct', 'incorrect')").join(own, "record_id")
+    return told.groupBy("extraction_class").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg((F.col("human_label") == "correct").cast("int")), 4).alias("precision"))
+
+
+#: The closed domains of a record's columns.
+DOMAINS = {"alignment_status": STATUS_ORDER, "judge_verdict": ["confirmed", "rejected", "uncertain"], "evidence_scope": ["full_text", "abstract_only"]}
+
+
+def outside_domains(df: DataFrame, domains: dict[str, list[str]] = DOMAINS) -> DataFrame:
+    """(column, value, n): stored values that are outside their column's closed domain; nulls are never outside."""
+    pairs = [F.struct(F.lit(c).alias("column"), F.when(~F.col(c).isin(list(v)), F.col(c)).alias("value")) for c, v in sorted(domains.items()) if c in df.columns]
+    return df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").where("value IS NOT NULL").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
 def calibration(labelled: DataFrame) -> DataFrame:
     """Confusion of a judge against labels (verdict, label): confirmed and correct are the positives; others are left out."""
     p, t = F.col("verdict") == "confirmed", F.col("label") == "correct"

@@ -114,17 +114,20 @@ def _spots(of: str) -> str:
         unnest(list_transform(ms, lambda x: length(x))) AS n FROM {of}"""
 
 
-# the tiers one after the other, each over what the one before has not placed; blanks and marks are spelt out for this engine
-_ALIGN = f"""
-    WITH q AS (SELECT DISTINCT record_id, doc_id, source_quote, char_start AS hint, regexp_replace(source_quote, '^{_BLANK}|{_BLANK}$', '', 'g') AS q FROM records WHERE source_quote <> ''),
-    j AS (SELECT q.*, text, contains(text, q) AND q <> '' AS exact,
+# the tiers one after the other, each over what the one before has not placed, from q (record_id, doc_id, source_quote, hint, q: the bare
+# quotation); blanks and marks are spelt out for this engine
+_TIERS = f"""j AS (SELECT q.*, text, contains(text, q) AND q <> '' AS exact,
           replace(replace(replace(replace(regexp_replace(regexp_replace(q, '{_BLANK}', chr(1), 'g'), '([!-/:-@\\[-`{{-~])', '\\\\\\1', 'g'), chr(92) || chr(39), '[' || chr(39) || '‘’]'), chr(92) || chr(34), '[' || chr(34) || '“”]'), chr(92) || '-', '[-‐‑‒–—]'), chr(1), '{_BLANK}') AS pat
           FROM q LEFT JOIN parsed_documents USING (doc_id)),
     e AS (SELECT *, string_split(text, q) AS ps, list_transform(range(1, len(string_split(text, q))), lambda x: q) AS ms FROM j WHERE exact),
     f AS (SELECT *, string_split_regex(text, pat) AS ps, regexp_extract_all(text, pat) AS ms FROM j WHERE q <> '' AND text <> '' AND NOT exact),
     l AS (SELECT * EXCLUDE (ps, ms), string_split_regex(text, '(?i)' || pat) AS ps, regexp_extract_all(text, '(?i)' || pat) AS ms FROM f WHERE len(ms) = 0),
     spots AS (SELECT *, 'match_exact' AS st FROM ({_spots('e')}) UNION ALL SELECT *, 'match_fuzzy' FROM ({_spots('(SELECT * FROM f WHERE len(ms) > 0)')}) UNION ALL SELECT *, 'match_lesser' FROM ({_spots('(SELECT * FROM l WHERE len(ms) > 0)')})),
-    best AS (SELECT record_id, source_quote, hint, st, arg_min({{'a': a, 'n': n}}, abs(a - coalesce(hint, 0)) * 1000000 + a) AS b, any_value(text) AS text, doc_id FROM spots GROUP BY record_id, doc_id, source_quote, hint, st)
+    best AS (SELECT record_id, source_quote, hint, st, arg_min({{'a': a, 'n': n}}, abs(a - coalesce(hint, 0)) * 1000000 + a) AS b, any_value(text) AS text, doc_id FROM spots GROUP BY record_id, doc_id, source_quote, hint, st)"""
+_BARE = f"regexp_replace(source_quote, '^{_BLANK}|{_BLANK}$', '', 'g')"
+_ALIGN = f"""
+    WITH q AS (SELECT DISTINCT record_id, doc_id, source_quote, char_start AS hint, {_BARE} AS q FROM records WHERE source_quote <> ''),
+    {_TIERS}
     SELECT j.record_id, j.doc_id, j.source_quote, CAST(b.a AS INT) AS aligned_start, CAST(b.a + b.n AS INT) AS aligned_end, st AS aligned_status, substr(best.text, CAST(b.a + 1 AS BIGINT), CAST(b.n AS BIGINT)) AS aligned_quote
     FROM j LEFT JOIN best ON best.record_id = j.record_id AND best.source_quote = j.source_quote AND best.hint IS NOT DISTINCT FROM j.hint AND best.doc_id = j.doc_id"""
 

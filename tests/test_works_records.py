@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from spanloom.operators import passes as P, records as R, works as K
-from spanloom.operators.harvest import canary_passes, harvest, verdicts
+from spanloom.operators.harvest import canary_passes, harvest
+from spanloom.operators.judge import verdicts
 from spanloom.operators.skew import distinct_per_key, heavy_keys, key_profile
 from spanloom.sources import connectors, files
 from spanloom.streaming.ingest import ingest_jsonl
