@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from spanloom.plans import figure_queries, pipeline_queries, quote_queries, record_queries, skew_queries, span_queries, work_queries
+from spanloom.plans import figure_queries, pipeline_queries, quote_queries, record_queries, run_queries, skew_queries, span_queries, work_queries
 
-_MODULES = [skew_queries, span_queries, work_queries, quote_queries, record_queries, figure_queries, pipeline_queries]
+_MODULES = [skew_queries, span_queries, work_queries, quote_queries, record_queries, figure_queries, pipeline_queries, run_queries]
 
 
 def queries() -> dict:
