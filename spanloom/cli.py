@@ -7,8 +7,8 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spanloom.operators import align, candidates, passes, records, spans
-from spanloom.operators.harvest import harvest
+from spanloom.operators import align, candidates, document_sets, judge, passes, records, runs, spans
+from spanloom.operators.harvest import canary_passes, harvest
 from spanloom.plans import registry
 from spanloom.plans.ship import ship
 from spanloom.plans.work_queries import VIEW_COLUMNS, _latest
@@ -34,15 +34,16 @@ def main(argv: list[str] | None = None) -> int:
     command("parse", "article files to parsed_documents", "folder", "out")
     command("candidates", "pattern hits in parsed texts", "root", "patterns", "out")
     command("windows", "fixed windows of parsed texts", "root", "out", size=30_000, overlap=1_500)
-    command("extract", "requests of a pass", "root", "pass_file", "vocabularies", "out", sample=0)
+    command("extract", "requests of a pass, tried by stored responses and submitted", "root", "pass_file", "vocabularies", "out", sample=0, doc_type="corpus", run="", community="nacre", model="strong", dry_run=0, only_missing=0, skip_trial=0, trial_responses="")
+    command("status", "a run's last row", "out", "run")
     command("estimate", "tokens and cost of requests", "requests", rate_in=1.0, rate_out=6.0, thinking=8.0)
     command("collect", "responses to records", "root", "pass_file", "vocabularies", "requests", "responses", "run", "out")
     command("align", "place quotations in their texts", "root", "out")
     command("normalise", "apply a vocabulary beside the raw values", "root", "vocabulary", "sets", "out")
-    command("judge", "request bodies for the judge", "root", "out")
-    command("judge-collect", "merge verdicts into records", "root", "verdicts", "out")
+    command("judge", "requests for the judge", "root", "out", judge_model="judge", extractor_model="strong")
+    command("judge-collect", "verdicts of responses, and silver rebuilt from them", "root", "responses", "vocabulary", "sets", "model", "tag", "out")
     command("label-sample", "records for labelling", "root", "out", n=200, seed="labels_1")
-    command("gold", "the flat table of a class", "root", "cls", "attributes", "out")
+    command("gold", "the flat table of a class, with the columns its records have or those named", "root", "cls", "out", attributes="")
     command("report", "every figure table and a manifest", "root", "out")
     command("query", "one registered query", "root", "name", "out")
     command("list", "the registered queries")
@@ -61,10 +62,18 @@ def main(argv: list[str] | None = None) -> int:
         _save(spans.fixed_windows(t("parsed_documents").select("doc_id", F.length("text").alias("n")), F.col("n"), a.size, a.overlap), a.out)
     elif a.command == "extract":
         p = passes.Pass.load(a.pass_file, a.vocabularies)
-        texts = t("parsed_documents")
-        if a.sample:
-            texts = records.seeded_sample(texts, "doc_id", a.sample, f"{p.name}_sample_{a.sample}")
-        _save(passes.requests(texts, p), a.out)
+        anchors = candidates.anchors(t("candidates"), candidates.known_values(t("records"), t("candidates"), t("corpus_seed")), []) if p.text_source == "anchors" else None
+        texts, windows = document_sets.texts_of(p, a.doc_type, t("publications"), t("parsed_documents"), anchors)
+        covered = runs.covered_by(spark.read.parquet(f"{a.out}/key_index"), spark.read.parquet(f"{a.out}/runs"), p.name) if a.only_missing else None
+
+        def trial(made: runs.Plan) -> DataFrame:
+            told = files.read_responses(files.read_jsonl(spark, a.trial_responses, files.RESPONSE))
+            return canary_passes(harvest(told, made.requests, texts, p, "trial")["summary"])
+
+        runs.extract(p, texts, windows, run_id=a.run, community=a.community, model=a.model, folder=a.out, trial=trial, dry_run=bool(a.dry_run), skip_trial=bool(a.skip_trial),
+                     covered=covered, sample=a.sample or None).show(truncate=False)
+    elif a.command == "status":
+        print(json.dumps(runs.run_row(spark.read.parquet(f"{a.out}/runs"), a.run), default=str))
     elif a.command == "estimate":
         passes.estimate(spark.read.parquet(a.requests), a.rate_in, a.rate_out, a.thinking).show(truncate=False)
     elif a.command == "collect":
@@ -77,15 +86,17 @@ def main(argv: list[str] | None = None) -> int:
     elif a.command == "normalise":
         _save(records.apply_vocabulary(t("records"), spark.read.parquet(a.vocabulary), json.loads(a.sets)), a.out)
     elif a.command == "judge":
-        r = t("records").where("source_quote <> ''").select("doc_id", "record_id", "extraction_class", "source_quote").distinct()
-        _save(records.request_parts(r, F.concat_ws(" | ", "record_id", "extraction_class", "source_quote")), a.out)
+        _save(judge.judge_requests(t("records").where("doc_id IS NOT NULL"), t("parsed_documents"), t("candidates"), a.judge_model, a.extractor_model), a.out)
     elif a.command == "judge-collect":
-        _save(records.merge_verdicts(t("records"), spark.read.parquet(a.verdicts)), a.out)
+        told = files.read_responses(files.read_jsonl(spark, a.responses, files.RESPONSE))
+        _save(log := judge.verdicts(told, a.model, a.tag), f"{a.out}/verdicts_{a.tag}")
+        judge.verdict_summary(told).show(truncate=False)
+        _save(judge.rebuild_silver(t("records"), spark.read.parquet(a.vocabulary), log, json.loads(a.sets)), f"{a.out}/silver")
     elif a.command == "label-sample":
         files.write_gold_csv(records.seeded_sample(t("records").where("source_quote <> ''").select("record_id", "doc_id", "extraction_class", "source_quote", "candidate_support").distinct(),
                                                    "record_id", a.n, a.seed, F.col("candidate_support")), a.out)
     elif a.command == "gold":
-        files.write_gold_csv(records.gold_table(t("records"), _latest(spark, a.root, *VIEW_COLUMNS), a.cls, a.attributes.split(",")), a.out)
+        files.write_gold_csv(records.gold_table(t("records"), _latest(spark, a.root, *VIEW_COLUMNS), a.cls, a.attributes.split(",") if a.attributes else None), a.out)
     elif a.command == "report":
         from spanloom.plans import figure_queries
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Callable, Iterator
 from pathlib import Path
 from typing import Protocol
@@ -57,11 +58,35 @@ class CallClient:
         return requests.selectExpr("key", "to_json(request) AS request").mapInArrow(run, "key string, finish string, body string, tokens_in long, tokens_out long")
 
 
+class Busy(Exception):
+    """The service asks to come back later."""
+
+
+def walk_pages(fetch: Callable[[str], dict], first: str = "*", tries: int = 5, wait: float = 1.0, sleep: Callable[[float], None] = time.sleep) -> Iterator[dict]:
+    """The results of a cursor-paged source: ``fetch`` takes a cursor and gives {"results": [...], "meta": {"next_cursor": ...}}.
+
+    A busy service is asked again after a wait that doubles, ``tries`` times at most; other errors are not retried.
+    """
+    cursor: str | None = first
+    while cursor:
+        for left in range(tries - 1, -1, -1):
+            try:
+                page = fetch(cursor)
+                break
+            except Busy:
+                if not left:
+                    raise
+                sleep(wait * 2 ** (tries - 1 - left))
+        yield from page.get("results", [])
+        cursor = (page.get("meta") or {}).get("next_cursor") if page.get("results") else None
+
+
 class PagedWorks(DataSource):
-    """Works of a metadata service as stored pages ``page_*.json`` ({"results": [...]}); a partition a page.
+    """Works of a metadata service, offline: ``spark.read.format("paged_works").load(folder)``.
 
-    A live reader would fetch a page a partition with retries; offline the pages of a folder are replayed:
-    ``spark.read.format("paged_works").load(folder)``.
+    Every subfolder (one query of the service) or the folder itself is a partition: its pages are replayed from
+    ``page_*.json`` by their cursors, the first being ``*``; pages without cursors follow each other by name.  A live reader has the
+    same shape, with a call to the service as ``fetch``.
     """
 
     @classmethod
@@ -80,8 +105,16 @@ class _Pages(DataSourceReader):
         self.folder = folder
 
     def partitions(self) -> list[InputPartition]:
-        return [InputPartition(str(p)) for p in sorted(Path(self.folder).glob("page_*.json"))]
+        folders = {p.parent for p in Path(self.folder).rglob("page_*.json")}
+        return [InputPartition(str(p)) for p in sorted(folders)]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        for w in json.loads(Path(partition.value).read_text()).get("results", []):
+        pages = sorted(Path(partition.value).glob("page_*.json"))
+
+        def fetch(cursor: str) -> dict:
+            k = 0 if cursor == "*" else next(i for i, p in enumerate(pages) if p.stem == cursor)
+            page = json.loads(pages[k].read_text())
+            return page | {"meta": {"next_cursor": pages[k + 1].stem if k + 1 < len(pages) else None}}
+
+        for w in walk_pages(fetch):
             yield w.get("id"), w.get("doi"), w.get("title"), w.get("type"), w.get("publication_date"), json.dumps(w)

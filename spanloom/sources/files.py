@@ -40,6 +40,22 @@ def read_articles(spark: SparkSession, path: str) -> DataFrame:
     return rows.groupBy("doc_id").agg(F.max_by(F.struct("version", "content"), F.coalesce(F.col("version").try_cast("int"), F.lit(0))).alias("r")).select("doc_id", "r.*")
 
 
+def first_held(*sources: DataFrame) -> DataFrame:
+    """(doc_id, version, content, source) of article files: the first of the sources (local, cache, remote) that holds a document,
+    and of its versions there the highest number."""
+    ranked = [s.select("doc_id", "version", "content", F.lit(i).alias("source")) for i, s in enumerate(sources)]
+    every = ranked[0]
+    for more in ranked[1:]:
+        every = every.unionByName(more)
+    best = F.max_by(F.struct("version", "content", "source"), F.struct((-F.col("source")).alias("s"), F.coalesce(F.col("version").try_cast("int"), F.lit(0)).alias("v")))
+    return every.groupBy("doc_id").agg(best.alias("r")).select("doc_id", "r.*")
+
+
+def read_many(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
+    """JSON lines of several places as one table by name: a column that one place lacks is null there, one that only it has is left out."""
+    return spark.read.schema(schema).json(paths)
+
+
 def read_responses(responses: DataFrame) -> DataFrame:
     """(key, finish, body, tokens_in, tokens_out) of model responses; thinking counts as output."""
     first = F.get(F.col("response.candidates"), F.lit(0))

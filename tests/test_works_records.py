@@ -89,7 +89,7 @@ def test_harvest(harvested):
 
 
 def test_harvest_canary_and_verdicts(spark, harvested):
-    s = spark.createDataFrame([(2, 2, 1), (2, 1, 1), (0, 0, 0)], "n_responses int, n_stop int, extracted int")
+    s = spark.createDataFrame([(2, 2, 0, 1), (2, 1, 0, 1), (0, 0, 0, 0)], "n_responses int, n_stop int, n_invalid int, extracted int")
     assert [r.ok for r in canary_passes(s).collect()] == [True, False, False]
     r = spark.createDataFrame([("STOP", '{"verdicts": [{"record_id": "r", "verdict": "confirmed", "confidence": 0.5}, {"record_id": "q", "verdict": "maybe"}]}'), ("MAX_TOKENS", "{}")], "finish string, body string")
     assert [(x.record_id, x.verdict, x.tag) for x in verdicts(r, "m", "t").collect()] == [("r", "confirmed", "t")]
