@@ -12,8 +12,8 @@ segmentation would give it.
 
 Defined results.  Null text: no windows, and of given windows only those faults that need no text.  Empty text: no windows,
 and any given window with an end above 0 is past the end.  A window with a null position has the fault ``null``.  Windows are
-taken in the order of their index, repeated rows as separate windows in order of their positions; the windows of a
-document are at most a few for every 30,000 characters of one string, so they are gathered per document.  Empty tables give empty results.
+taken in the order of their index, repeated rows as separate windows in order of their positions; the different windows of a
+document are at most a few for every 30,000 characters of one string, so they are gathered per document, equal ones counted first.  Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -169,8 +169,10 @@ def review_windows(windows: DataFrame, parsed: DataFrame, limit: int = LIMIT, ov
     Windows are gathered per document (compact) and joined once with its text; a text without windows is not shipped on.
     ``better_end`` is the segmentation's end for a window that begins where this one does, null without text.
     """
-    order = F.array_sort(F.collect_list(F.struct("window_index", "window_start", "window_end")))
-    given = windows.where("doc_id IS NOT NULL").groupBy("doc_id").agg(order.alias("given"))
+    # equal rows are counted first; a third copy has the faults of the second, so two stand for any number
+    once = windows.where("doc_id IS NOT NULL").groupBy("doc_id", "window_index", "window_start", "window_end").agg(F.least(F.count(F.lit(1)), F.lit(2)).cast("int").alias("n"))
+    copies = F.array_repeat(F.struct("window_index", "window_start", "window_end"), F.col("n"))
+    given = once.groupBy("doc_id").agg(F.array_sort(F.flatten(F.collect_list(copies))).alias("given"))
     joined = given.join(parsed.select("doc_id", "text"), "doc_id", "left").select("doc_id", "text", "given")
     names = ["doc_id", "window_index", "window_start", "window_end", "faults", "better_end"]
     kinds = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.int32()]

@@ -131,6 +131,32 @@ def test_valleys_against_brute_force(seed):
     assert N.valley_depths(text, at) == pytest.approx([peak(i, -1) + peak(i, 1) - 2 * x for i, x in enumerate(near)])
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_cuts_hit_planted_changes_of_topic(seed):
+    """Texts of paragraphs on changing topics, two to four changes a window: how many cuts fall on a planted change."""
+    rng, hit, cuts = random.Random(seed), 0, 0
+    topics = [[f"{a}{b}word" for b in "bcdfghjk"] for a in "abcdefgh"]
+    for _ in range(6):
+        text, changes, last = "", set(), None
+        while len(text) < 20_000:
+            last = rng.choice([t for t in topics if t is not last])
+            if text:
+                changes.add(len(text) - 1)
+            text += " ".join(" ".join(rng.choices(last, k=9)).capitalize() + "." for _ in range(rng.randrange(8, 14))) + " "
+        found = N.Cutter(text, 4_000, 200).windows()
+        assert all(b - a <= 4_000 for a, b in found) and all(x[1] - 200 == y[0] for x, y in zip(found, found[1:]))
+        cuts += len(found) - 1
+        hit += sum(b in changes for _, b in found[:-1])
+    assert cuts > 25 and hit / cuts >= 0.9
+
+
+def test_repeated_windows_are_counted(spark):
+    w = spark.createDataFrame([("d", 0, 0, 5)] * 500 + [("d", 1, 3, 8), (None, 0, 0, 1)], "doc_id string, window_index int, window_start int, window_end int")
+    parsed = spark.createDataFrame([("d", "ab cd ef gh")], "doc_id string, text string")
+    got = [(r.window_index, r.faults) for r in N.review_windows(w, parsed, 6, 2).collect()]
+    assert got == [(0, ["overlap"])]  # the copies; the window behind them begins where it should
+
+
 def test_cut_falls_on_the_change_of_topic():
     text = text_of(random.Random(1), 60)
     change = next(g for g in N.gaps(text) if text[g:].strip().lower().startswith("b") and text[:g].split()[-1].lower().startswith("a"))
