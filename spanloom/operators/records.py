@@ -68,6 +68,11 @@ def population(records: DataFrame) -> DataFrame:
     return per.join(total, "extraction_class").select("extraction_class", "attribute", F.round(F.col("k") / F.col("n"), 3).alias("share"))
 
 
+def thin(records: DataFrame, below: float = 0.5, most: int = 12) -> DataFrame:
+    """The first ``most`` attributes in order that are stated in less than ``below`` of their class's records."""
+    return population(records).where(F.col("share") < below).orderBy("extraction_class", "attribute").limit(most)
+
+
 def attribute_names(records: DataFrame, cls: str) -> list[str]:
     """The attributes that any record of a class has, in order; as many as the class defines."""
     keys = records.where(F.col("extraction_class") == cls).select(F.explode(F.map_keys("attributes")).alias("a")).distinct()

@@ -53,8 +53,8 @@ def attribute_population(spark: SparkSession, root: str) -> DataFrame:
 
 
 def thin_attributes(spark: SparkSession, root: str) -> DataFrame:
-    """Attributes stated in less than half of their class's records, first twelve in order."""
-    return R.population(_records(spark, root)).where("share < 0.5").orderBy("extraction_class", "attribute").limit(12)
+    """Attributes stated in less than three quarters of their class's records, first twelve in order."""
+    return R.thin(_records(spark, root), 0.75)
 
 
 def gold_availability(spark: SparkSession, root: str) -> DataFrame:
@@ -175,7 +175,7 @@ SQL = {
                               CASE WHEN attributes['direction'] NOT IN ('released', 'acquired') THEN 'direction=' || attributes['direction'] END) AS drift,
                array_to_string(enum_drift, ';') AS stored, count(*) AS n FROM records WHERE extraction_class = 'data_availability' GROUP BY 1, 2""",
     "attribute_population": f"WITH {_POP} SELECT * FROM pop",
-    "thin_attributes": f"WITH {_POP} SELECT * FROM pop WHERE share < 0.5 ORDER BY extraction_class, attribute LIMIT 12",
+    "thin_attributes": f"WITH {_POP} SELECT * FROM pop WHERE share < 0.75 ORDER BY extraction_class, attribute LIMIT 12",
     "gold_availability": f"""
         WITH {_LATEST}
         SELECT record_id, r.doc_id, doc_type, coalesce(attributes['accession'], '') AS accession, coalesce(attributes['repository'], '') AS repository, coalesce(attributes['access_tier'], '') AS access_tier,
