@@ -73,7 +73,8 @@ def plain(c: Column) -> Column:
     for x in ("  ", "\t", "\n", "\x0b", "\f", "\r"):
         tidy = tidy & ~F.contains(c, F.lit(x))
     shown = F.when(narrow, c).otherwise(F.translate(F.regexp_replace(c, r"\p{Cf}+", ""), "０１２３４５６７８９", "0123456789"))
-    return F.nullif(F.trim(F.when(tidy, c).otherwise(F.regexp_replace(shown, r"[\s\p{Z}&&[^ ]][\s\p{Z}]*| [\s\p{Z}]+", " "))), F.lit(""))
+    odd = c.rlike(r"[\p{Cf}０-９]|[\s\p{Z}&&[^ ]]|  ")
+    return F.nullif(F.trim(F.when(tidy, c).when(~odd, c).otherwise(F.regexp_replace(shown, r"[\s\p{Z}&&[^ ]][\s\p{Z}]*| [\s\p{Z}]+", " "))), F.lit(""))
 
 
 def work_key(c: Column) -> Column:
