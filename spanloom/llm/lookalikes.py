@@ -36,8 +36,8 @@ STABLE = [(0x3400, 0x4DBF), (0x4E00, 0xA48C), (0xAC00, 0xD7A3), (0xD800, 0xF8FF)
 
 
 @lru_cache(maxsize=1)
-def _tables() -> tuple[dict[int, str], re.Pattern]:
-    """The folding of single characters, and the pattern of a run of unstable ones."""
+def _tables() -> tuple[dict[int, str], re.Pattern, frozenset[str]]:
+    """The folding of single characters, the pattern of a run of unstable ones, and those characters."""
     fold = {ord(a): b for a, b in [*zip(CYRILLIC, CYRILLIC_AS), *zip(GREEK, GREEK_AS), *OTHER.items()]}
     unstable = set()
     for code in chain.from_iterable(range(a, b) for a, b in zip([0, *(b + 1 for _, b in STABLE)], [a for a, _ in STABLE])):
@@ -64,18 +64,17 @@ def _tables() -> tuple[dict[int, str], re.Pattern]:
             runs.append([code, code])
         runs[-1][1] = last = code
     inside = "".join(f"{re.escape(chr(a))}-{re.escape(chr(b))}" if a != b else re.escape(chr(a)) for a, b in runs)
-    return fold, re.compile(f"[{inside}]+")
+    return fold, re.compile(f"[{inside}]+"), frozenset(map(chr, unstable))
 
 
 def same_form(text: str | None) -> str | None:
     """The one form of ``text``."""
     if not text or text.isascii() and not re.search(r"[\t\n\v\f\r]", text):
         return text
-    fold, unstable = _tables()
-    found = unstable.search(text)
-    if not found:
+    fold, unstable, characters = _tables()
+    if characters.isdisjoint(text):
         return text
-    out, at = [], 0
+    out, at, found = [], 0, unstable.search(text)
     while found:
         start = max(at, found.start() - 1)  # with its boundary context
         out += text[at:start], unicodedata.normalize("NFC", text[start : found.end()].translate(fold))

@@ -81,7 +81,7 @@ def code(word: str) -> int:
 
 
 def language(words: Counter) -> int:
-    return max(range(len(_LANGUAGES)), key=lambda k: (sum(words[w] for w in _LANGUAGES[k][1]), -k))
+    return max(range(len(_LANGUAGES)), key=lambda k: (sum(words[w] for w in _LANGUAGES[k][1] & words.keys()), -k))
 
 
 def _stem(word: str) -> str:

@@ -91,8 +91,15 @@ def inside_word(text: str, at: int) -> bool:
     return 0 < at < len(text) and text[at - 1].isalnum() and text[at].isalnum()
 
 
+#: Kinds of places where a text may be cut, from the worst.
+INSIDE_WORD, BETWEEN_SIGNS, BEHIND_BLANK, GAP = range(4)
+
+
 class Cutter:
-    """Ends of windows over one text; the segmentation is made once, when it is first needed."""
+    """Ends of windows over one text: those it makes, and what given ones are worth by the same ladder of kinds of places.
+
+    The segmentation is made once, when it is first needed.
+    """
 
     def __init__(self, text: str, limit: int, overlap: int) -> None:
         if not 0 <= overlap < limit // 2:
@@ -100,23 +107,38 @@ class Cutter:
         self.text, self.limit, self.overlap = text, limit, overlap
         self._gaps: tuple[list[int], list[float]] | None = None
 
-    def end(self, start: int) -> int:
-        """The end of the window that begins at ``start``."""
-        text, stop = self.text, start + self.limit
-        if stop >= len(text):
-            return len(text)
+    def segments(self) -> tuple[list[int], list[float]]:
+        """The gaps between sentences and the depth of cohesion's valley at each."""
         if self._gaps is None:
-            at = gaps(text)
-            self._gaps = (at, valley_depths(text, at))
-        at, depth = self._gaps
-        least = start + self.limit // 2
+            at = gaps(self.text)
+            self._gaps = (at, valley_depths(self.text, at))
+        return self._gaps
+
+    def kind(self, at: int) -> int:
+        """What kind of place ``at`` is, gaps between sentences aside."""
+        if inside_word(self.text, at):
+            return INSIDE_WORD
+        return BEHIND_BLANK if self.text[at - 1 : at].isspace() else BETWEEN_SIGNS
+
+    def end(self, start: int) -> int:
+        """The end of the window that begins at ``start``: the deepest valley, else the last place of the best other kind."""
+        stop, least = start + self.limit, start + self.limit // 2
+        if stop >= len(self.text):
+            return len(self.text)
+        at, depth = self.segments()
         inside = range(bisect_left(at, least), bisect_right(at, stop))
         if inside:
             return at[max(inside, key=lambda i: (depth[i], i))]
-        for k in range(stop, least, -1):
-            if text[k - 1].isspace():
-                return k
-        return next((k for k in range(stop, least, -1) if not inside_word(text, k)), stop)
+        for kind in (BEHIND_BLANK, BETWEEN_SIGNS):
+            for k in range(stop, least, -1):
+                if self.kind(k) >= kind:
+                    return k
+        return stop
+
+    def faults(self, start: int, end: int) -> list[str]:
+        """What this cutter would never do: a window over the limit, past the text, or cut at a place of the worst kind."""
+        past = end > len(self.text)
+        return ["too_long"] * (end - start > self.limit) + ["past_end"] * past + ["inside_word"] * (not past and self.kind(end) == INSIDE_WORD)
 
     def windows(self) -> list[tuple[int, int]]:
         out, start = [], 0
@@ -131,21 +153,14 @@ class Cutter:
 
 def faults(text: str | None, given: list[tuple[int | None, int | None]], limit: int, overlap: int) -> list[list[str]]:
     """The faults of each of a document's windows, in their order."""
-    out, last = [], None
+    out, last, cutter = [], None, Cutter(text or "", limit, overlap)
     for k, (start, end) in enumerate(given):
-        found = []
         if start is None or end is None:
-            found.append("null")
+            found = ["null"]
         else:
-            if end - start > limit:
-                found.append("too_long")
+            found = cutter.faults(start, end) if text is not None else ["too_long"] * (end - start > limit)
             if k and last is not None and start != last - overlap:
                 found.append("overlap")
-            if text is not None:
-                if end > len(text):
-                    found.append("past_end")
-                elif inside_word(text, end):
-                    found.append("inside_word")
         last = end
         out.append(found)
     return out
