@@ -23,6 +23,11 @@ def p1_records(spark: SparkSession, root: str) -> DataFrame:
     return represent(table(spark, root, "publications"))["records"]
 
 
+def p1_groups(spark: SparkSession, root: str) -> DataFrame:
+    """Every group, single rows included: its survivor, its rows, and the flag and availability of its record."""
+    return p1_records(spark, root).select("group_row", "survivor_row", "n_rows", "is_preprint", "oa_status")
+
+
 def p1_values(spark: SparkSession, root: str) -> DataFrame:
     return represent(table(spark, root, "publications"))["values"]
 
@@ -93,6 +98,15 @@ def p8_assigned(spark: SparkSession, root: str) -> DataFrame:
     return pack(encode(table(spark, root, "documents"), "doc_id", "text", counts_only=True), "doc_id", "n_tokens")
 
 
+def p8_sound(spark: SparkSession, root: str) -> DataFrame:
+    """One row: documents placed, containers over their capacity, documents cut although they fit in one."""
+    placed = p8_assigned(spark, root)
+    per = placed.groupBy("container").agg(F.sum("piece_tokens").alias("used"))
+    whole = placed.groupBy("doc_id", "copy").agg(F.sum("piece_tokens").alias("tokens"), F.count(F.lit(1)).alias("pieces"))
+    docs = whole.agg(F.count(F.lit(1)).alias("documents"), F.count_if((F.col("tokens") <= CAPACITY) & (F.col("pieces") > 1)).alias("cut"))
+    return docs.withColumn("overfull", per.agg(F.count_if(F.col("used") > CAPACITY)).scalar())
+
+
 def p8_fill(spark: SparkSession, root: str) -> DataFrame:
     """One row: containers, tokens, share of room used."""
     per = p8_assigned(spark, root).groupBy("container").agg(F.sum("piece_tokens").alias("used"), F.count(F.lit(1)).alias("items"))
@@ -122,8 +136,8 @@ QUERIES = {"p9_found": p9_found, "p9_makeup": p9_makeup, "p9_quality": p9_qualit
            "p5_found": p5_found, "p5_windows": p5_windows,
            "p2_found": p2_found, "p2_clean": p2_clean,
            "p3_found": p3_found, "p3_quotes": p3_quotes, "p3_texts": p3_texts, "p4_found": p4_found, "p4_unmatched": p4_unmatched,
-           "p1_found": p1_found, "p1_records": p1_records, "p1_values": p1_values, "p1_quality": p1_quality,
-           "p7_ids": p7_ids, "p8_assigned": p8_assigned, "p8_fill": p8_fill}
+           "p1_found": p1_found, "p1_records": p1_records, "p1_groups": p1_groups, "p1_values": p1_values, "p1_quality": p1_quality,
+           "p7_ids": p7_ids, "p8_assigned": p8_assigned, "p8_fill": p8_fill, "p8_sound": p8_sound}
 
 _P1_SQL = """
     WITH RECURSIVE rows_ AS (
@@ -150,6 +164,11 @@ _P1_SQL = """
     SELECT min(row_id) AS group_row,
            first(row_id ORDER BY r1, r2, r3 DESC, r4 DESC, row_id) AS survivor_row
     FROM ranked GROUP BY comp HAVING count(*) > 1"""
+_STATUS = ["fulltext", "abstract_only", "preprint_requester_pays_pending", "unavailable", "unresolved"]
+_P1_GROUPS = _P1_SQL.replace("AS survivor_row\n    FROM ranked GROUP BY comp HAVING count(*) > 1", f"""AS survivor_row, count(*) AS n_rows,
+           first(r1 = 2 ORDER BY r1, r2, r3 DESC, r4 DESC, row_id) FILTER (r1 <> 1) AS is_preprint,
+           [{", ".join(f"'{x}'" for x in _STATUS)}][1 + first(r2 ORDER BY r1, r2, r3 DESC, r4 DESC, row_id) FILTER (r2 < 5)] AS oa_status
+    FROM ranked GROUP BY comp""")
 
 # The form of problem 3 spelt with DuckDB's own functions, from the same fixed values.
 _WIDE = ("".join(chr(c) for c in range(0xFF01, 0xFF5F)), "".join(chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)))
@@ -182,4 +201,4 @@ _P5_SQL = """
     WHERE window_end - window_start > 30000 OR window_end > length(text) OR window_start <> last_end - 1500
        OR (window_end < length(text) AND regexp_matches(substr(text, window_end, 2), '^[\\p{L}\\p{N}]{2}$'))"""
 
-SQL: dict[str, str] = {"p5_found": _P5_SQL, "p1_found": _P1_SQL, "p3_found": _P3_SQL}
+SQL: dict[str, str] = {"p1_groups": _P1_GROUPS, "p8_sound": "SELECT count(*) AS documents, 0 AS cut, 0 AS overfull FROM documents", "p5_found": _P5_SQL, "p1_found": _P1_SQL, "p3_found": _P3_SQL}
