@@ -8,7 +8,7 @@
   greater of two entropies: of its presentation (how its children vary between pages) and of its content (how its words
   vary).  Nodes that look and read alike on the host's pages (menus, notices) fall below the threshold and their branches are
   removed from every page before it is converted; a page has one branch of a node at most, so what is removed is what was
-  counted.  Nodes, styles and words are counted in Spark over all pages with elements.
+  counted.  Headings and other labels are alike by their office (``Background``) and go with a noisy branch around them only.  Nodes, styles and words are counted in Spark over all pages with elements.
 * **Conversion.** Marks go, round by round until none is left, what they say about structure stays: ``blocks`` lists the
   headings (with level), list items, code and formulas as half-open code point ranges of the clean text.  Formulas keep their
   notation, also outside dollar signs (``\\alpha``), code its lines.  A template comes out as what stands in its places, unless it
@@ -50,6 +50,8 @@ BLOCK = frozenset(
     "form h1 h2 h3 h4 h5 h6 header html li list list-item main nav ol p pre sec section table table-wrap tbody tfoot thead title tr ul".split()
 )
 
+#: Elements that name what follows them; to be alike on many pages is their office, so they go with a noisy branch only.
+LABELS = frozenset("h1 h2 h3 h4 h5 h6 title th dt".split())
 #: LaTeX commands that only lay text out, and those whose arguments are part of a formula; other bare commands are symbols.
 LAYOUT = (
     "appendix bf bfseries bigskip centering clearpage em emph footnotesize frontmatter hfill hline hspace huge indent it item itshape label large "
@@ -283,7 +285,7 @@ def noise_paths(marked: DataFrame, threshold: float = 0.15, least_pages: int = 2
         for batch in batches:
             rows = [(h, nodes, s, sorted(_words(t[a:b])))
                     for h, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-                    for _, s, a, b, nodes in placed_branches(t)]
+                    for path, s, a, b, nodes in placed_branches(t) if path.rsplit("/", 1)[-1].split(".")[0] not in LABELS]
             columns = list(zip(*rows)) if rows else [[], [], [], []]
             kinds = (pa.string(), pa.list_(pa.string()), pa.string(), pa.list_(pa.string()))
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["host", "nodes", "style", "words"])
