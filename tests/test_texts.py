@@ -95,6 +95,16 @@ def test_align(spark, quote, hint, want):
         assert TEXT[want[0]:want[1]] == r.aligned_quote
 
 
+def test_align_many_and_repeated(spark):
+    rows = [("d", "The panel was kept.", None, {"k": "v"})] * 700 + [("d", f"w{i}", i, None) for i in range(500)] + [(None, "x", None, None)] * 2 + [("none", "x", 1, None)]
+    q = spark.createDataFrame(rows, "doc_id string, source_quote string, hint int, more map<string,string>")
+    texts = spark.createDataFrame([("d", TEXT + " " + " ".join(f"w{i}" for i in range(500)))], "doc_id string, text string")
+    got = align(q, texts, part=50)
+    assert got.columns == [*q.columns, "aligned_start", "aligned_end", "aligned_status", "aligned_quote"] and got.count() == len(rows)
+    assert got.where("aligned_quote = source_quote").count() == 1_200 and got.where("aligned_start IS NULL").count() == 3
+    assert align(q.limit(0), texts).count() == 0
+
+
 def test_align_typographic_marks():
     assert locate("it's a \"so-called\" test", "it’s a “so–called” test") == (0, 23, "match_fuzzy")
 
