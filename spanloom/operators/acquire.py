@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from spanloom.functions.text import article_id, first_filled, month_prefix, short_pmcid, status_form
-from spanloom.operators.works import author_overlap, availability, edges_to, flat_works, keep_best
+from spanloom.operators.works import author_overlap, availability, collapse_preprints, edges_to, flat_works, is_preprint, keep_best
 
 
 def met_by_ids(seed: DataFrame, works: DataFrame) -> DataFrame:
@@ -80,6 +80,26 @@ def citing_documents(works: DataFrame, corpus: DataFrame, full_texts: DataFrame)
     return d.join(author_overlap(d, corpus), "doc_id", "left"), edges
 
 
+def acquire(works: DataFrame, corpus: DataFrame, full_texts: DataFrame, ids: DataFrame | None = None, *more_abstracts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(documents, edges): the corpus' rows and those of all works that cite it, in one table.
+
+    Works of the corpus are left out of the citing ones, preprints go into their published versions (``merged_from``), archive ids and
+    abstracts are filled from the given tables, status and overlap follow.  ``tier`` tells where a citing text can be had: archive,
+    requester_pays, abstract or none.
+    """
+    flat = flat_works(works).dropDuplicates(["doc_id"])
+    edges = edges_to(flat, corpus)
+    outside = flat.join(corpus.select("doc_id"), "doc_id", "left_anti").join(edges.select(F.col("citing_doc_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    kept = collapse_preprints(outside.withColumn("preprint", is_preprint(F.col("work_type"), F.col("doi"))), "doc_id").withColumnRenamed("merged", "merged_from")
+    kept = kept if ids is None else with_pmcids(kept, ids)
+    kept = fill_abstracts(kept.withColumn("abstract", F.lit(None).cast("string")), *more_abstracts)
+    d = with_status(kept, full_texts).withColumn("doc_type", F.lit("citing"))
+    status = F.col("oa_status")
+    tier = F.when(status == "fulltext", "archive").when(status == "preprint_requester_pays_pending", "requester_pays").when(status == "abstract_only", "abstract").otherwise("none")
+    citing = d.withColumn("tier", tier).join(author_overlap(d, corpus), "doc_id", "left")
+    return corpus.unionByName(citing.drop("preprint", "first_last_author_ids", "referenced"), allowMissingColumns=True), edges
+
+
 def citing_of(edges: DataFrame, cited: str) -> DataFrame:
     """The works that cite one work."""
     return edges.where(F.col("cited_doc_id") == cited).select("citing_doc_id").distinct()

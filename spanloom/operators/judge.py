@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from spanloom.operators.acquire import answered
 from spanloom.operators.passes import request_config
-from spanloom.operators.records import apply_vocabulary, merge_verdicts
+from spanloom.operators.records import apply_vocabulary, merge_verdicts, surface_values
 from spanloom.operators.spans import context
 
 #: What a judge may say, how much of the text around a quotation it sees, and the cap of its answer.
@@ -72,6 +73,16 @@ def verdict_summary(responses: DataFrame) -> DataFrame:
     return t.agg(*map(of, VERDICTS), F.coalesce(F.sum(F.size(F.filter("v", lambda x: ~known(x)))), F.lit(0)).alias("unknown_verdicts"), F.count_if(~F.coalesce("good", F.lit(False))).alias("bad_responses"))
 
 
+def normalise(bronze: DataFrame, answers: DataFrame, verdict_log: DataFrame, sets: dict[str, str], lists: list[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """(vocabulary, silver): the surface values of all records with a service's answers, unanswered ones standing for themselves,
+    and silver rebuilt from them."""
+    by_set: dict[str, list[str]] = {}
+    for attribute, value_set in sets.items():
+        by_set.setdefault(value_set, []).append(attribute)
+    vocabulary = answered(surface_values(bronze, by_set, lists), answers)
+    return vocabulary, rebuild_silver(bronze, vocabulary, verdict_log, sets)
+
+
 def rebuild_silver(bronze: DataFrame, vocabulary: DataFrame, verdict_log: DataFrame, sets: dict[str, str]) -> DataFrame:
     """Silver from bronze, vocabulary and verdicts alone: canonical values beside the raw ones, the last verdict of each record."""
     return merge_verdicts(apply_vocabulary(bronze, vocabulary, sets), verdict_log)

@@ -87,6 +87,16 @@ def write_gold_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
+def gold_views(spark: SparkSession, folder: str, classes: list[str]) -> list[str]:
+    """A temporary view for every class whose gold table is in ``folder`` (``gold_CLASS``), all columns strings, empty cells empty texts."""
+    made = []
+    for name in classes:
+        df = read_csv(spark, f"{folder}/gold_{name}")
+        df.na.fill("").createOrReplaceTempView(name)
+        made.append(name)
+    return made
+
+
 def append_new(df: DataFrame, existing: DataFrame | None, key: str, path: str) -> None:
     """Append only rows whose key is not there yet, so that a repeated run adds nothing."""
     (df if existing is None else df.join(existing.select(key), key, "left_anti")).write.mode("append").parquet(path)

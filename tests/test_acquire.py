@@ -33,6 +33,21 @@ def test_corpus_and_citing(spark, works):
     assert sorted(r.citing_doc_id for r in A.citing_of(edges, "W2").collect()) == ["W3", "W4"]
 
 
+def test_all_documents_acquired(spark):
+    rows = [work("C1", pmid="1"), work("P1", doi="10.5/p", refs=["C1"], author="A7"), work("Q1", doi="10.1101/p", refs=["C1"], author="A8"), work("R1", doi="10.1101/r", refs=["C1"]), work("S1", pmid="9", refs=["C1"])]
+    for r, title in zip(rows, ("corpus", "Same title", "same  TITLE", "other", "third")):
+        r["title"] = title
+    rows[2]["type"] = rows[3]["type"] = "preprint"
+    works = spark.read.json(spark.sparkContext.parallelize([json.dumps(r) for r in rows]))
+    seed = spark.createDataFrame([("1", None, "x", None)], "pmid string, doi string, centre string, grant_numbers string")
+    texts, ids = spark.createDataFrame([("S1",)], "doc_id string"), spark.createDataFrame([("9", "77")], "pmid string, pmcid string")
+    documents, edges = A.acquire(works, A.corpus_documents(seed, works, texts), texts, ids, spark.createDataFrame([("P1", "an abstract")], "doc_id string, abstract string"))
+    got = {r.doc_id: (r.doc_type, r.oa_status, r.tier, r.merged_from, r.pmcid) for r in documents.collect()}
+    assert got == {"C1": ("corpus", "unavailable", None, None, None), "P1": ("citing", "abstract_only", "abstract", ["Q1"], None), "R1": ("citing", "preprint_requester_pays_pending", "requester_pays", [], None),
+                   "S1": ("citing", "fulltext", "archive", [], "PMC77")}
+    assert edges.count() == 4
+
+
 def test_attempted_chunks_answers_cost(spark):
     index = spark.createDataFrame([("r1", "a"), ("r2", "b"), ("r3", "c")], "run_id string, doc_id string")
     runs = spark.createDataFrame([("r1", "p", "done", False), ("r2", "p", "cancelled_x", None), ("r3", "p", "done", True)], "run_id string, pass_name string, status string, is_sample boolean")

@@ -111,6 +111,18 @@ def test_judge(spark):
     assert (silver.attributes_canonical, silver.attributes, silver.judge_verdict) == ({"p": "X"}, {"p": "x"}, "confirmed")
 
 
+def test_normalise_and_views(spark, tmp_path):
+    bronze = spark.createDataFrame([("a", {"p": "x", "q": "y"}, None, None, None)], "record_id string, attributes map<string,string>, judge_verdict string, judge_confidence double, judge_reason string")
+    log = spark.createDataFrame([("a", "rejected", 0.5, "r", "t1"), ("a", "confirmed", 0.9, "s", "t2")], "record_id string, verdict string, confidence double, reason string, tag string")
+    vocabulary, silver = J.normalise(bronze, spark.createDataFrame([("s", "x", "X")], "value_set string, surface_form string, canonical_form string"), log, {"p": "s", "q": "s"})
+    assert {tuple(r) for r in vocabulary.collect()} == {("s", "x", "X"), ("s", "y", "y")}
+    r = silver.first()
+    assert (r.attributes_canonical, r.judge_verdict, r.judge_confidence) == ({"p": "X", "q": "y"}, "confirmed", 0.9)
+    files.write_gold_csv(spark.createDataFrame([("a", None, '1 "x", y')], "k string, e string, v string"), f"{tmp_path}/gold_thing")
+    assert files.gold_views(spark, str(tmp_path), ["thing"]) == ["thing"]
+    assert [tuple(r) for r in spark.sql("SELECT * FROM thing WHERE e = ''").collect()] == [("a", "", '1 "x", y')]
+
+
 def test_list_values(spark):
     r = spark.createDataFrame([("data", {"kind": "a; z;b", "where": "q;r"}), ("data", {"kind": '["a", "y"]', "where": None}), ("data", {"kind": None}), ("data", None)], "extraction_class string, attributes map<string,string>")
     assert [x.d for x in r.select(PASS.drift("data", F.col("attributes")).alias("d")).collect()] == [["kind=z"], ["kind=y"], [], []]
