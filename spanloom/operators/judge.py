@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from spanloom.operators.acquire import answered
-from spanloom.operators.passes import request_config
+from spanloom.operators.passes import estimate, request_config
 from spanloom.operators.records import apply_vocabulary, merge_verdicts, surface_values
+from spanloom.operators.runs import Plan
 from spanloom.operators.spans import context
 
 #: What a judge may say, how much of the text around a quotation it sees, and the cap of its answer.
@@ -53,6 +54,19 @@ def judge_trial(reqs: DataFrame, n: int = 2) -> DataFrame:
     return first.orderBy(F.desc("n_records"), "doc_id").limit(n)
 
 
+def judge_plan(reqs: DataFrame, rates: tuple[float, float, float] = (1.0, 6.0, 8.0)) -> Plan:
+    """Judge requests as a plan that is tried and submitted like any run; a part stands for a window without positions."""
+    zero = F.lit(None).cast("int")
+    made = reqs.select("key", "doc_id", F.col("part").cast("int").alias("window_index"), zero.alias("window_start"), zero.alias("window_end"), "request")
+    return Plan(made, estimate(made, *rates), False)
+
+
+def judge_passes(responses: DataFrame) -> DataFrame:
+    """One row, ``ok``: every response of a judge's trial ended, and there is at least one known verdict."""
+    s = verdict_summary(responses)
+    return s.select(((F.col("bad_responses") == 0) & (F.col("confirmed") + F.col("rejected") + F.col("uncertain") > 0)).alias("ok"))
+
+
 def _told(responses: DataFrame) -> DataFrame:
     kind = "struct<verdicts:array<struct<record_id:string,verdict:string,confidence:double,reason:string>>>"
     return responses.withColumn("v", F.from_json("body", kind)["verdicts"]).withColumn("good", (F.col("finish") == "STOP") & F.col("v").isNotNull())

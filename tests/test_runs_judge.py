@@ -88,7 +88,7 @@ def test_issues_gate(spark):
     assert [x.ok for x in canary_passes(s).collect()] == [True, False]
 
 
-def test_judge(spark):
+def test_judge(spark, tmp_path):
     rec = spark.createDataFrame([("d", f"r{i}", "data", "quote", "results", {"where": "x"}, 5, 10) for i in range(450)] + [("d", "e", "data", "", "none", {}, 0, 0), ("n", "s", "data", "q", None, None, None, None)],
                                 "doc_id string, record_id string, extraction_class string, source_quote string, source_section string, attributes map<string,string>, char_start int, char_end int")
     parsed = spark.createDataFrame([("d", "01234quote" + "y" * 1_000)], "doc_id string, text string")
@@ -102,6 +102,11 @@ def test_judge(spark):
     assert body.count('"V1"') == 1 and json.loads(body.splitlines()[-1])["context"] == "01234quote" + "y" * 400
     assert "(none)" in next(r for r in got if r.doc_id == "n").request.contents[0].parts[0].text
     assert [r.doc_id for r in J.judge_trial(reqs).collect()] == ["d", "n"]
+    made = J.judge_plan(reqs)
+    U.submit(made, PASS, "j1", "c", "m2", str(tmp_path), U.gate(J.judge_passes(spark.createDataFrame([("STOP", '{"verdicts": [{"record_id": "a", "verdict": "rejected"}]}')], "finish string, body string"))))
+    assert U.run_row(spark.read.parquet(f"{tmp_path}/runs"), "j1")["n_requests"] == len(got)
+    with pytest.raises(RuntimeError):
+        U.gate(J.judge_passes(spark.createDataFrame([("STOP", '{"verdicts": []}')], "finish string, body string")))
     told = spark.createDataFrame([("STOP", '{"verdicts": [{"record_id": "a", "verdict": "confirmed"}, {"record_id": "b", "verdict": "maybe"}, {"record_id": "c"}]}'), ("STOP", "no"), ("MAX_TOKENS", '{"verdicts": []}')], "finish string, body string")
     assert J.verdict_summary(told).first().asDict() == {"confirmed": 1, "rejected": 0, "uncertain": 0, "unknown_verdicts": 2, "bad_responses": 2}
     assert J.verdict_summary(told.limit(0)).first().confirmed == 0
