@@ -21,7 +21,7 @@
 Values are compared by 64-bit hashes of their one spelling within their group and field, so the texts stay behind until the
 records are built; titles that differ in case only are one value and come out as the last of them in order of text.
 
-Defined results.  Null ``doc_id``: the row is a work of its own, linked only by its ``merged_from``.  Null or empty
+Defined results.  Null ``doc_id``: the row is a work of its own, linked only by its ``merged_from``; without a ``row_id`` too it is left out.  Null or empty
 ``merged_from``, ids that repeat or that no row carries, and a row naming itself link nothing.  Repeated rows count as
 claims again and never change the groups.  Ties end at the smallest ``row_id`` (rows) or the greatest hash (values).  Null
 and blank values claim nothing; a field that no row fills is null.  An empty table gives empty results.  Other columns,
@@ -164,7 +164,7 @@ def prepared(pubs: DataFrame) -> DataFrame:
     return cut(pubs.select(
         _work().alias("_work"), "row_id", _source().alias("source"), F.coalesce(version_number(F.col("source_version")), F.lit(-1.0)).alias("version"),
         F.coalesce(day_number(F.col("snapshot_date")), F.lit(0)).alias("day"), _spelling("merged_from", F.col("merged_from")).alias("named"),
-        F.array(*map(_key, FIELDS)).alias("keys"), lists.alias("lists")))
+        F.array(*map(_key, FIELDS)).alias("keys"), lists.alias("lists")).where("_work IS NOT NULL"))
 
 
 def work_components(rows: DataFrame) -> DataFrame:

@@ -57,6 +57,13 @@ def test_groups_and_survivors(spark):
     assert got == {1: (5, 6), 7: (12, 4), 8: (8, 1), 10: (10, 1)}
 
 
+def test_rows_without_ids_and_without_values(spark):
+    rows = [{"row_id": None, "doc_id": None}] * 2 + [{"row_id": 1, "doc_id": "W1"}, {"row_id": 2, "doc_id": " w1 ", "title": "  ", "author_ids": [None, " "], "abstract": "x" * 100_000}]
+    out = represent(pubs(spark, *[{k: v for k, v in r.items()} for r in rows]))
+    r = out["records"].collect()
+    assert [(x.group_row, x.survivor_row, x.n_rows, x.title, len(x.abstract), x.doi) for x in r] == [(1, 1, 2, None, 100_000, None)] and out["values"].count() == 0
+
+
 def test_repeated_rows_ties_and_empty_table(spark):
     row = {"row_id": 1, "doc_id": "W1", "title": "t"}
     assert groups(spark, row, row, {**row, "row_id": 2}) == {1: (1, 3)}
